@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,3 +36,9 @@ def left_joins(left: DataFrame, rights: Sequence[DataFrame], keys: Sequence[str]
     for right in rights:
         out = out.join(spread(right, keys), on, "left")
     return out.drop(SPREAD)
+
+
+def rows_of(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `df` whose keys are among `wanted`, a NULL being equal to a NULL."""
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    return df.alias("a").join(wanted.alias("b"), reduce(and_, same), "left_semi")

@@ -54,17 +54,10 @@ def upsert_frame(
     unless `null_safe` makes NULLs equal.
     """
     _check_mode(on_duplicate)
-    columns = target.columns
-    source = source.select(*columns)
-    if on_duplicate == "keep_all":
-        old, new, on = _sides(target, source, keys, null_safe)
-        return old.join(new, on, "left_anti").select(*columns).unionByName(source)
-    source = _unique_or_error(source, keys, null_safe)
-    old, new, on = _sides(target, source, keys, null_safe)
-    matched = F.col("s._here").isNotNull()
-    return old.join(new, on, "full_outer").select(
-        *[F.when(matched, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in columns]
-    )
+    source = source.select(*target.columns)
+    if on_duplicate == "error":
+        source = _unique_or_error(source, keys, null_safe)
+    return _merge(target, source, keys, on_duplicate, null_safe)
 
 
 def _unique_or_error(source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
@@ -80,10 +73,6 @@ def _unique_or_error(source: DataFrame, keys: Sequence[str], null_safe: bool) ->
     return rows.withColumn("_here", here).drop(SPREAD)
 
 
-def _tagged(df: DataFrame) -> DataFrame:
-    return df.withColumn("_here", F.lit(True))
-
-
 def _days(df: DataFrame, column: str) -> set[dt.date | None]:
     """Distinct partition days: as many as the calendar of the data has, not its rows."""
     return {row[0] for row in df.select(column).distinct().collect()}
@@ -118,7 +107,7 @@ def upsert_table(
        target rows are now, since a row may move to another day.
     3. Their new content is staged as well, then written with dynamic partition
        overwrite. A run that fails before leaves the table alone; one that
-       fails while writing can be repeated.
+       fails while writing keeps the staged content, to be written again.
     4. Touched partitions that end up with no rows are dropped.
     """
     _check_mode(on_duplicate)
@@ -131,27 +120,34 @@ def upsert_table(
         target = spark.table(table)
         touched = _days(staged, part)
         if part in keys:
-            located = target.filter(_on_days(part, touched))
+            # A matched row is in the partition of the source row that matches it.
+            before = target.filter(_on_days(part, touched))
+            content = _merge(before, staged, keys, on_duplicate, null_safe)
         else:
-            located = target
-        on = _keys_equal(keys, "t", "s", null_safe)
-        # Keys of the target that the source matches, with the day they are stored under.
-        hits_name, hits = workspace.stage(
-            located.select(*dict.fromkeys([*keys, part])).alias("t")
-            .join(staged.select(*keys).alias("s"), on, "left_semi")
-            .distinct(),
-            f"{fact.name}_matched",
-        )
-        names.append(hits_name)
-        if part not in keys:
+            # Keys of the target that the source matches, with the day they are stored under.
+            wanted = staged.select(*keys).distinct().alias("s")
+            hits_name, hits = workspace.stage(
+                target.select(*keys, part)
+                .alias("t")
+                .join(wanted, _keys_equal(keys, "t", "s", null_safe), "left_semi")
+                .distinct(),
+                f"{fact.name}_matched",
+            )
+            names.append(hits_name)
             touched |= _days(hits, part)
-        before = target.filter(_on_days(part, touched))
-        after_name, after = workspace.stage(
-            _merged(before, staged, hits, keys, on_duplicate, null_safe).select(*target.columns),
-            f"{fact.name}_after",
-        )
+            before = target.filter(_on_days(part, touched))
+            if on_duplicate == "keep_all":
+                content = _merge(before, staged, keys, on_duplicate, null_safe)
+            else:
+                content = _update_and_add(before, staged, hits, keys, null_safe)
+        after_name, after = workspace.stage(content.select(*target.columns), f"{fact.name}_after")
         names.append(after_name)
-        _overwrite_partitions(spark, after_name, table, part)
+        try:
+            overwrite_partitions(spark, after_name, table, part)
+        except Exception as failure:
+            names.remove(after_name)
+            failure.add_note(f"{after_name} holds the new content; finish with overwrite_partitions")
+            raise
         for day in touched - _days(after, part):
             value = "NULL" if day is None else f"DATE'{day.isoformat()}'"
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = {value})")
@@ -160,7 +156,7 @@ def upsert_table(
         workspace.release(*names)
 
 
-def _overwrite_partitions(spark: SparkSession, staged: str, table: str, part: str) -> None:
+def overwrite_partitions(spark: SparkSession, staged: str, table: str, part: str) -> None:
     """Replace the partitions that occur in `staged` and no others.
 
     The mode is a setting, and without it the whole table would be replaced, so
@@ -171,33 +167,40 @@ def _overwrite_partitions(spark: SparkSession, staged: str, table: str, part: st
     session.table(staged).hint("rebalance", part).write.insertInto(table, overwrite=True)
 
 
-def _merged(
-    before: DataFrame,
-    staged: DataFrame,
-    hits: DataFrame,
-    keys: Sequence[str],
-    on_duplicate: str,
-    null_safe: bool,
+def _update_and_add(
+    before: DataFrame, staged: DataFrame, hits: DataFrame, keys: Sequence[str], null_safe: bool
 ) -> DataFrame:
-    """New content of the touched partitions.
+    """New content of touched partitions, for a source that may be far smaller than they are.
 
-    The big side is always the left one of a left join, so it stays where it is
-    when the source is small enough to broadcast, and can be split when it is
-    skewed.
+    The big side is the left one of a left join, so it stays where it is when
+    the source is small enough to broadcast, and can be split when it is skewed.
     """
     columns = staged.columns
+    old, new, on = _sides(before, staged.withColumn("_here", F.lit(True)), keys, null_safe)
+    updated = old.join(new, on, "left").select(*_new_or_old(columns))
+    arriving, known, on = _sides(staged, hits.select(*keys).distinct(), keys, null_safe)
+    return updated.unionByName(arriving.join(known, on, "left_anti").select(*columns))
+
+
+def _merge(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str, null_safe: bool
+) -> DataFrame:
+    """The merge in one join; a source that is not "keep_all" is unique by key."""
+    columns = target.columns
+    source = source.select(*columns, *[c for c in source.columns if c == "_here"])
     if on_duplicate == "keep_all":
-        old, new, on = _sides(before, staged, keys, null_safe)
-        kept = old.join(new, on, "left_anti")
-        return kept.select(*columns).unionByName(staged)
-    old, new, on = _sides(before, _tagged(staged), keys, null_safe)
+        old, new, on = _sides(target, source.select(*keys).distinct(), keys, null_safe)
+        return old.join(new, on, "left_anti").select(*columns).unionByName(source)
+    if "_here" not in source.columns:
+        source = source.withColumn("_here", F.lit(True))
+    old, new, on = _sides(target, source, keys, null_safe)
+    return old.join(new, on, "full_outer").select(*_new_or_old(columns))
+
+
+def _new_or_old(columns: Sequence[str]) -> list[Column]:
+    """The values of the source where there is a source row, else of the target."""
     matched = F.col("s._here").isNotNull()
-    updated = old.join(new, on, "left").select(
-        *[F.when(matched, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in columns]
-    )
-    arriving, known, on = _sides(staged, hits.select(*keys), keys, null_safe)
-    added = arriving.join(known, on, "left_anti").select(*columns)
-    return updated.unionByName(added)
+    return [F.when(matched, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in columns]
 
 
 def _sides(

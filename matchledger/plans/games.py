@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchledger.functions import as_truth, or_else
-from matchledger.operators.joins import any_null, left_joins
+from matchledger.operators.joins import any_null, left_joins, rows_of
 from matchledger.operators.watermark import incremental_filter
 from matchledger.operators.windows import first_row
 from matchledger.schemas import GAMES, MATCH_KEYS
@@ -97,19 +97,14 @@ def fct_games_dedup(events: DataFrame) -> DataFrame:
     )
 
 
-def games_of(events: DataFrame, touched: DataFrame, since: Column | None = None) -> DataFrame:
-    """The fact for the matches in `touched` only, plus key-less joins after `since`.
+def games_of(events: DataFrame, touched: DataFrame) -> DataFrame:
+    """The fact for the match keys in `touched` only, incomplete keys included.
 
     Every input is cut to those matches by a semi join first. `touched` should
     be a staged table: its known size lets the planner broadcast it when it is
     small, and the history is then filtered where it lies, not shuffled.
     """
-    def within(df: DataFrame) -> DataFrame:
-        return df.join(touched, MATCH_KEYS, "left_semi")
-
-    joined = within(joins(events))
-    if since is not None:
-        joined = joined.unionByName(joins(events, since).filter(any_null(MATCH_KEYS)))
-    return as_games(
-        lifecycle(joined, within(submissions(events)), within(closings(events)), within(claims(events)))
-    )
+    sides = [
+        side(events).join(touched, MATCH_KEYS, "left_semi") for side in (submissions, closings, claims)
+    ]
+    return as_games(lifecycle(rows_of(joins(events), touched, MATCH_KEYS), *sides))

@@ -16,7 +16,7 @@ from matchledger.operators.joins import any_null
 from matchledger.operators.upsert import upsert_table
 from matchledger.operators.watermark import high_water_mark, incremental_filter
 from matchledger.plans import daily, games, roas, rooms
-from matchledger.schemas import DAILY, GAMES, MATCH_KEYS, ROAS, ROOM_KEYS, ROOMS, Fact
+from matchledger.schemas import DAILY, GAMES, MATCH_KEYS, PURCHASE, ROAS, ROOM_KEYS, ROOMS
 from matchledger.session import Workspace
 from matchledger.sources.tables import create_fact, read_fact
 
@@ -55,7 +55,8 @@ def refresh(
             source = _as_written(name, inputs, stored, workspace, staged)
         else:
             source = _reprocessed(name, inputs, stored, workspace, staged)
-        upsert_table(spark, table, source, fact, workspace, on_duplicate)
+        # What is rebuilt takes the place of what was there, under incomplete keys too.
+        upsert_table(spark, table, source, fact, workspace, on_duplicate, null_safe=late == "reprocess")
     finally:
         workspace.release(*staged)
     return read_fact(spark, table, fact)
@@ -105,17 +106,16 @@ def _reprocessed(
     name: str, inputs: Inputs, stored: DataFrame, workspace: Workspace, staged: list[str]
 ) -> DataFrame:
     events = inputs.events
+    if stored.isEmpty():
+        return _full(name, inputs)
     if name == GAMES.name:
         since = _latest(stored, "joined_time", "submit_time", "room_close_time", "claim_time")
         touched = _stage(workspace, staged, touched_keys(events, MATCH_KEYS, since), "touched")
-        return games.games_of(events, touched, since)
+        return games.games_of(events, touched)
     if name == ROOMS.name:
         since = _latest(stored, "room_open_time", "room_close_time")
         touched = _stage(workspace, staged, touched_keys(events, ROOM_KEYS, since), "touched")
-        new_keyless = incremental_filter(
-            rooms.joined_events(events).filter(any_null(ROOM_KEYS)), "timestamp_utc", since
-        )
-        return rooms.rooms_of(events, touched).unionByName(rooms.fct_rooms(new_keyless))
+        return rooms.rooms_of(events, touched)
     if name == DAILY.name:
         return daily.daily_player_from(events, stored, high_water_mark(stored, "date_utc"))
     return _full(name, inputs)
@@ -129,9 +129,9 @@ def _latest(stored: DataFrame, *times: str) -> Column:
 
 
 def touched_keys(events: DataFrame, keys: list[str], since: Column | None = None) -> DataFrame:
-    """Complete keys that any event (after `since`) mentions."""
+    """Keys that any tournament event (after `since`) mentions, incomplete ones included."""
     new = incremental_filter(events, "timestamp_utc", since, day_column="date_utc")
-    return new.select(*keys).dropna().distinct()
+    return new.filter(F.col("event_name") != PURCHASE).select(*keys).distinct()
 
 
 def _stage(workspace: Workspace, staged: list[str], df: DataFrame, label: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from matchledger.functions import as_truth, minutes_between, or_zero
-from matchledger.operators.joins import any_null, left_joins
+from matchledger.operators.joins import any_null, rows_of
 from matchledger.operators.multiplicity import repeat_rows
 from matchledger.operators.watermark import incremental_filter
 from matchledger.schemas import FINISHED, JOINED, ROOM_CLOSED, ROOM_KEYS, ROOMS
@@ -21,14 +21,14 @@ from matchledger.sources.views import finished_events, joined_events, room_close
 
 
 def room_open(events: DataFrame) -> DataFrame:
-    return joined_events(events).groupBy("tournament_id", "room_id").agg(
+    return joined_events(events).groupBy(*ROOM_KEYS).agg(
         F.min("timestamp_utc").alias("room_open_time"),
         F.sum(or_zero("entry_fee")).alias("total_coins_sink"),
     )
 
 
 def room_close(events: DataFrame) -> DataFrame:
-    return room_closed_events(events).groupBy("tournament_id", "room_id").agg(
+    return room_closed_events(events).groupBy(*ROOM_KEYS).agg(
         F.max("timestamp_utc").alias("room_close_time"),
         F.sum(or_zero("reward")).alias("total_coins_rewards"),
     )
@@ -36,7 +36,7 @@ def room_close(events: DataFrame) -> DataFrame:
 
 def room_match_duration(events: DataFrame) -> DataFrame:
     """Average duration (despite its name) per distinct player count of a room."""
-    return finished_events(events).groupBy("tournament_id", "room_id", "players_active_in_toom").agg(
+    return finished_events(events).groupBy(*ROOM_KEYS, "players_active_in_toom").agg(
         F.avg(or_zero("play_duration")).alias("total_matches_duration")
     )
 
@@ -53,6 +53,7 @@ def room_entries(events: DataFrame, since: Column | None = None) -> DataFrame:
         F.min("timestamp_utc").alias("_first"),
         F.sum(or_zero("entry_fee")).alias("_coins"),
     )
+    # Partitioned as the joins to come are, so those need no shuffle of this side.
     room = W.partitionBy(*ROOM_KEYS)
     known = ~any_null(ROOM_KEYS)
     return entries.select(
@@ -74,25 +75,23 @@ def with_flags(rooms: DataFrame) -> DataFrame:
 
 def lifecycle(entries: DataFrame, events: DataFrame) -> DataFrame:
     durations = room_match_duration(events).withColumnRenamed("players_active_in_toom", "actual_players")
-    return left_joins(entries, [room_close(events), durations], ROOM_KEYS)
+    return entries.join(room_close(events), ROOM_KEYS, "left").join(durations, ROOM_KEYS, "left")
 
 
 def fct_rooms(events: DataFrame, since: Column | None = None) -> DataFrame:
     rooms = lifecycle(room_entries(events, since), events)
-    return repeat_rows(with_flags(rooms), "entries").select(*ROOMS.columns)
+    return repeat_rows(with_flags(rooms), "entries", ROOM_KEYS).select(*ROOMS.columns)
 
 
-def fct_rooms_dedup(events: DataFrame, touched: DataFrame | None = None) -> DataFrame:
+def fct_rooms_dedup(events: DataFrame) -> DataFrame:
     """One row per room, every metric a conditional aggregate of one pass.
 
     Details are the largest seen, and the duration is the average over all
     finished matches of the room. Rooms without a complete key keep only what
-    their joins say. `touched` limits the work to some rooms.
+    their joins say.
     """
     name = F.col("event_name")
     of_rooms = events.filter(name.isin(JOINED, ROOM_CLOSED, FINISHED))
-    if touched is not None:
-        of_rooms = of_rooms.join(touched, ROOM_KEYS, "left_semi")
 
     def at(event: str, value: Column | str) -> Column:
         return F.when(name == event, F.col(value) if isinstance(value, str) else value)
@@ -121,4 +120,4 @@ def fct_rooms_dedup(events: DataFrame, touched: DataFrame | None = None) -> Data
 
 def rooms_of(events: DataFrame, touched: DataFrame) -> DataFrame:
     """The fact for the rooms in `touched` only; see `games.games_of`."""
-    return fct_rooms(events.join(touched, ROOM_KEYS, "left_semi"))
+    return fct_rooms(rows_of(events, touched, ROOM_KEYS))

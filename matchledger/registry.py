@@ -99,7 +99,7 @@ def _closing_balance(events: DataFrame) -> DataFrame:
 # rooms ---------------------------------------------------------------------
 
 def _room_span(events: DataFrame) -> DataFrame:
-    return rooms.room_open(events).join(rooms.room_close(events), ["tournament_id", "room_id"]).select(
+    return rooms.room_open(events).join(rooms.room_close(events), ROOM_KEYS).select(
         *ROOM_KEYS, "room_open_time", "room_close_time",
         minutes_between("room_open_time", "room_close_time").alias("room_open_duration"),
     )
@@ -217,15 +217,14 @@ def _streamed(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
         workspace = Workspace(spark)
-        schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
         # A pattern, since a stream takes a plain path for a folder, and this may be a file.
-        stream = demo.game_log(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet"))
+        raw = spark.readStream.schema(demo.RAW_EVENTS).parquet(f"{sf_dir}/event[s].parquet")
         location = spark.sql(f"DESCRIBE DATABASE {workspace.database}").filter(
             "info_name = 'Location'"
         ).first()["info_value"]
         table = workspace.table(name)
         keep_current(
-            spark, stream, lambda: demo.game_events(spark, sf_dir), name, table, workspace,
+            spark, demo.game_log(raw), lambda: demo.game_events(spark, sf_dir), name, table, workspace,
             f"{location}/checkpoint_{name}",
         ).awaitTermination()
         return read_fact(spark, table, FACTS[name])

@@ -5,118 +5,137 @@ FIXTURES.md gives the mapping; `oracle/views.py` states it again in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchledger import schemas
-from matchledger.functions import as_flag
 
-LAST_DAY = "2024-01-30"
 # Rows up to this day are what a first refresh sees.
 FIRST_RUN_UNTIL = "2024-01-20"
 
-
-def _minutes_earlier(n: Column | int) -> Column:
-    shift = F.lit(n) if isinstance(n, int) else n
-    return F.timestamp_add("MINUTE", -shift, F.col("ts"))
-
-
-def _typed(raw: DataFrame, name: str, at: Column, **values: Column) -> DataFrame:
-    values = {"event_name": F.lit(name), "timestamp_utc": at, "player_id": F.col("user_id"),
-              "date_utc": F.to_date(at), **values}
-    return raw.select(
-        *[
-            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schemas.EVENTS.fields
-        ]
-    )
+RAW_EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+RAW_SUPPLIER = "s_suppkey BIGINT, s_nationkey INT, s_acctbal DOUBLE"
+
+# `props` is text such as {"k": 69}. A pattern reads it at a fifth of the cost of
+# parsing it as JSON, and every event type needs it.
+K_PATTERN = r"""r'"k": *([0-9]+)'"""
+
+PLACE = {"room_id": "event_id div 5", "tournament_id": "(event_id div 5) % 7"}
+AFTER_JOIN = {**PLACE, "balance_before": "990 + (event_id * 37) % 500"}
+POINTS = "floor(value * 10)"
+BONUS = "CASE WHEN k % 7 = 0 THEN 5 END"
+
+# Per event name: which raw rows give one, when it happened, and its columns.
+# A column that is not named is NULL.
+EVENT_TYPES = {
+    schemas.JOINED: (
+        "event_type <> 'purchase'",
+        "timestampadd(MINUTE, -(k % 40 + 20), ts)",
+        {
+            **PLACE,
+            "balance_before": "1000 + (event_id * 37) % 500",
+            "entry_fee": "CASE WHEN k % 10 <> 0 THEN 10 * (1 + (event_id div 5) % 4) END",
+            "players_capacity": "5",
+        },
+    ),
+    schemas.FINISHED: (
+        "event_type <> 'purchase' AND k % 8 <> 0",
+        "timestampadd(MINUTE, -15, ts)",
+        {
+            **AFTER_JOIN,
+            "play_duration": "CASE WHEN k % 9 <> 0 THEN 30 + k END",
+            "players_submited": "1 + k % 5",
+            "players_active_in_toom": "3 + k % 3",
+            "score": f"CASE WHEN k % 11 <> 0 THEN {POINTS} END",
+        },
+    ),
+    schemas.ROOM_CLOSED: (
+        "event_type <> 'purchase' AND k % 6 <> 0",
+        "timestampadd(MINUTE, -10, ts)",
+        {
+            **AFTER_JOIN,
+            "score": f"CASE WHEN k % 4 <> 0 THEN {POINTS} END",
+            "position": "k % 5",
+            "reward": "CASE k % 5 WHEN 0 THEN 40 WHEN 1 THEN 20 WHEN 2 THEN 0 END",
+            "coins_claimed": BONUS,
+        },
+    ),
+    schemas.REWARD_CLAIMED: (
+        "event_type <> 'purchase' AND k % 5 < 3",
+        "ts",
+        {
+            **AFTER_JOIN,
+            "score": POINTS,
+            "position": "k % 5",
+            "reward": "CASE k % 5 WHEN 0 THEN 40 WHEN 1 THEN 20 END",
+            "coins_claimed": BONUS,
+        },
+    ),
+    schemas.PURCHASE: (
+        "event_type = 'purchase'",
+        "ts",
+        {"coins_claimed": "100 * (1 + k % 3)", "price_usd": "value"},
+    ),
+}
 
 
 def game_log(raw: DataFrame) -> DataFrame:
     """The game event log as a projection of raw event rows (batch or stream)."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    raw = raw.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
-    k, event_id = F.col("k"), F.col("event_id")
-    room = F.expr("event_id div 5")
-    place = {"room_id": room, "tournament_id": room % 7}
-    points = F.floor(F.col("value") * 10)
-    later_balance = F.lit(990) + (event_id * 37) % 500
-    bonus = F.when(k % 7 == 0, 5)
-    match = raw.filter(F.col("event_type") != "purchase")
-
-    joined = _typed(
-        match, schemas.JOINED, _minutes_earlier(k % 40 + 20), **place,
-        balance_before=F.lit(1000) + (event_id * 37) % 500,
-        entry_fee=F.when(k % 10 != 0, (room % 4 + 1) * 10),
-        players_capacity=F.lit(5),
-    )
-    finished = _typed(
-        match.filter(k % 8 != 0), schemas.FINISHED, _minutes_earlier(15), **place,
-        balance_before=later_balance,
-        play_duration=F.when(k % 9 != 0, k + 30),
-        players_submited=k % 5 + 1,
-        players_active_in_toom=k % 3 + 3,
-        score=F.when(k % 11 != 0, points),
-    )
-    closed = _typed(
-        match.filter(k % 6 != 0), schemas.ROOM_CLOSED, _minutes_earlier(10), **place,
-        balance_before=later_balance,
-        score=F.when(k % 4 != 0, points),
-        position=k % 5,
-        reward=F.when(k % 5 == 0, 40).when(k % 5 == 1, 20).when(k % 5 == 2, 0),
-        coins_claimed=bonus,
+    raw = raw.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value",
+        f"CAST(regexp_extract(props, {K_PATTERN}, 1) AS INT) AS k",
     )
-    claimed = _typed(
-        match.filter(k % 5 < 3), schemas.REWARD_CLAIMED, F.col("ts"), **place,
-        balance_before=later_balance,
-        score=points,
-        position=k % 5,
-        reward=F.when(k % 5 == 0, 40).when(k % 5 == 1, 20),
-        coins_claimed=bonus,
-    )
-    purchase = _typed(
-        raw.filter(F.col("event_type") == "purchase"), schemas.PURCHASE, F.col("ts"),
-        coins_claimed=(k % 3 + 1) * 100,
-        price_usd=F.col("value"),
-    )
-    log = joined
-    for part in (finished, closed, claimed, purchase):
-        log = log.unionByName(part)
+    log = None
+    for name, (rows, at, values) in EVENT_TYPES.items():
+        values = {
+            "event_name": f"'{name}'", "timestamp_utc": at, "player_id": "user_id",
+            "date_utc": f"to_date({at})", **values,
+        }
+        typed = raw.filter(rows).selectExpr(
+            *[
+                f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
+                for f in schemas.EVENTS.fields
+            ]
+        )
+        log = typed if log is None else log.unionByName(typed)
     return log
 
 
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(RAW_EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
 def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return game_log(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return game_log(raw_events(spark, sf_dir))
 
 
 def installs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    uid = F.col("user_id")
-    age = ((uid * 7) % 113 - 3).cast("int")
-    media = F.when(uid % 4 == 0, "Organic").when(uid % 4 == 1, "AdNetA").when(uid % 4 == 2, "AdNetB")
     return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
+        raw_events(spark, sf_dir)
         .select("user_id")
         .distinct()
-        .select(
-            uid.alias("player_id"),
-            F.date_sub(F.lit(LAST_DAY).cast("date"), age).alias("install_date"),
-            media.otherwise("AdNetC").alias("media_source"),
-            F.concat(F.lit("C"), (uid % 3).cast("string")).alias("install_country"),
+        .selectExpr(
+            "user_id AS player_id",
+            "date_sub(DATE'2024-01-30', CAST((user_id * 7) % 113 - 3 AS INT)) AS install_date",
+            "CASE user_id % 4 WHEN 0 THEN 'Organic' WHEN 1 THEN 'AdNetA' "
+            "WHEN 2 THEN 'AdNetB' ELSE 'AdNetC' END AS media_source",
+            "concat('C', user_id % 3) AS install_country",
         )
     )
 
 
 def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    media = F.when(key % 3 == 0, "AdNetA").when(key % 3 == 1, "AdNetB").otherwise("AdNetC")
-    country = F.concat(F.lit("C"), (F.col("s_nationkey") % 3).cast("string"))
-    free = as_flag((F.col("media_source") == "AdNetC") & (F.col("country") == "C0")) == 1
     return (
-        spark.read.parquet(f"{sf_dir}/supplier.parquet")
-        .select(media.alias("media_source"), country.alias("country"), "s_acctbal")
-        .select(
+        spark.read.schema(RAW_SUPPLIER)
+        .parquet(f"{sf_dir}/supplier.parquet")
+        .selectExpr(
+            "CASE s_suppkey % 3 WHEN 0 THEN 'AdNetA' WHEN 1 THEN 'AdNetB' ELSE 'AdNetC' END AS media_source",
+            "concat('C', s_nationkey % 3) AS country",
+            "s_acctbal",
+        )
+        .selectExpr(
             "media_source", "country",
-            F.when(free, F.lit(0.0)).otherwise(F.abs("s_acctbal")).alias("spend"),
+            "CASE WHEN media_source = 'AdNetC' AND country = 'C0' THEN 0.0D ELSE abs(s_acctbal) END AS spend",
         )
     )
 

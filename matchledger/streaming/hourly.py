@@ -43,7 +43,9 @@ def keep_current(
         try:
             rows = _rebuilt(fact, log(), touched)
             if spark.catalog.tableExists(table):
-                upsert_table(spark, table, rows, fact, workspace, on_duplicate="keep_all")
+                upsert_table(
+                    spark, table, rows, fact, workspace, on_duplicate="keep_all", null_safe=True
+                )
             else:
                 create_fact(rows, table, fact)
         finally:
