@@ -23,10 +23,13 @@ from matchledger.sources.tables import create_fact, read_fact
 
 @dataclass(frozen=True)
 class Inputs:
+    """What the facts are built from; `latest` is the last day of `daily` where it is known."""
+
     events: DataFrame | None = None
     installs: DataFrame | None = None
     spend: DataFrame | None = None
     daily: DataFrame | None = None
+    latest: Column | None = None
 
 
 FACTS = {fact.name: fact for fact in (GAMES, ROOMS, DAILY, ROAS)}
@@ -69,7 +72,7 @@ def _full(name: str, inputs: Inputs) -> DataFrame:
         return rooms.fct_rooms(inputs.events)
     if name == DAILY.name:
         return daily.daily_player(inputs.events)
-    return roas.marketing_roas(inputs.daily, inputs.installs, inputs.spend)
+    return roas.marketing_roas(inputs.daily, inputs.installs, inputs.spend, inputs.latest)
 
 
 def _as_written(

@@ -7,8 +7,9 @@ money are shown to the cent; the plans themselves do not round them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchledger.functions import cohort_label, minutes_between, or_else, or_zero, round3
@@ -17,7 +18,7 @@ from matchledger.operators import spine, streaks
 from matchledger.operators.upsert import upsert_frame
 from matchledger.operators.watermark import high_water_mark, incremental_filter
 from matchledger.plans import daily, games, roas, rooms
-from matchledger.plans.refresh import FACTS, Inputs, refresh
+from matchledger.plans.refresh import FACTS, refresh
 from matchledger.schemas import COHORT_KEYS, DAILY, DAY_KEYS, GAMES, MATCH_KEYS, ROAS, ROOM_KEYS, ROOMS
 from matchledger.session import Workspace, tune
 from matchledger.sources import demo, views
@@ -38,37 +39,45 @@ def over_events(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(demo.game_events(tune(spark), sf_dir))
 
 
-def over_inputs(build: Callable[[Inputs], DataFrame]) -> Query:
-    """Queries over all inputs; the daily fact comes from the events."""
+class DemoInputs:
+    """The inputs of one query, each built when it is first asked for."""
 
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(_inputs(tune(spark), sf_dir))
+    def __init__(self, spark: SparkSession, sf_dir: str, first_run: bool = False):
+        self._spark, self._sf_dir, self._first_run = spark, sf_dir, first_run
 
-    return query
+    @cached_property
+    def events(self) -> DataFrame:
+        events = demo.game_events(self._spark, self._sf_dir)
+        return demo.first_run(events) if self._first_run else events
 
+    @cached_property
+    def installs(self) -> DataFrame:
+        return demo.installs(self._spark, self._sf_dir)
 
-def _inputs(spark: SparkSession, sf_dir: str, first: bool = False) -> Inputs:
-    events = demo.game_events(spark, sf_dir)
-    events = demo.first_run(events) if first else events
-    return Inputs(
-        events=events,
-        installs=demo.installs(spark, sf_dir),
-        spend=demo.spend(spark, sf_dir),
-        daily=daily.daily_player(events),
-    )
+    @cached_property
+    def spend(self) -> DataFrame:
+        return demo.spend(self._spark, self._sf_dir)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return daily.daily_player(self.events)
+
+    @property
+    def latest(self) -> Column:
+        """Last day of the daily fact: its calendar ends where the log does."""
+        return spine.last_date(self.events)
 
 
-def _latest(inputs: Inputs):
-    """Last day of the daily fact: its calendar ends where the log does."""
-    return spine.last_date(inputs.events)
+def over_inputs(build: Callable[[DemoInputs], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(DemoInputs(tune(spark), sf_dir))
 
 
-def _roas(inputs: Inputs) -> DataFrame:
-    return roas.marketing_roas(inputs.daily, inputs.installs, inputs.spend, _latest(inputs))
+def _roas(inputs: DemoInputs) -> DataFrame:
+    return roas.marketing_roas(inputs.daily, inputs.installs, inputs.spend, inputs.latest)
 
 
-def _ages(inputs: Inputs) -> DataFrame:
-    return roas.days_since_install(inputs.daily, inputs.installs, _latest(inputs))
+def _ages(inputs: DemoInputs) -> DataFrame:
+    return roas.days_since_install(inputs.daily, inputs.installs, inputs.latest)
 
 
 # games ---------------------------------------------------------------------
@@ -132,22 +141,22 @@ def _streak_groups(events: DataFrame) -> DataFrame:
 
 # roas ----------------------------------------------------------------------
 
-def _latest_days(inputs: Inputs) -> DataFrame:
-    return roas.latest_days(inputs.daily, _latest(inputs)).select(*DAY_KEYS, "revenue")
+def _latest_days(inputs: DemoInputs) -> DataFrame:
+    return roas.latest_days(inputs.daily, inputs.latest).select(*DAY_KEYS, "revenue")
 
 
-def _bucketed(inputs: Inputs) -> DataFrame:
+def _bucketed(inputs: DemoInputs) -> DataFrame:
     return _ages(inputs).select(
         "player_id", "install_date", "media_source", "install_country", "days_since_install",
         cohort_label("days_since_install").alias("cohort_period"),
     )
 
 
-def _cohorts(inputs: Inputs) -> DataFrame:
-    return roas.cohort_revenue(inputs.daily, inputs.installs, inputs.spend, _latest(inputs))
+def _cohorts(inputs: DemoInputs) -> DataFrame:
+    return roas.cohort_revenue(inputs.daily, inputs.installs, inputs.spend, inputs.latest)
 
 
-def _ratios(inputs: Inputs) -> DataFrame:
+def _ratios(inputs: DemoInputs) -> DataFrame:
     cohorts = _cohorts(inputs)
     ratio = roas.ratio_or_null("cohort_revenue", "total_spend")
     return cents(cohorts.withColumn("roas", round3(ratio)), "cohort_revenue", "total_spend")
@@ -172,7 +181,7 @@ def _merge_daily(events: DataFrame) -> DataFrame:
 
 def _merge_roas(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
-    old, new = _roas(_inputs(spark, sf_dir, first=True)), _roas(_inputs(spark, sf_dir))
+    old, new = _roas(DemoInputs(spark, sf_dir, first_run=True)), _roas(DemoInputs(spark, sf_dir))
     return upsert_frame(old, new, ROAS.keys)
 
 
@@ -192,8 +201,8 @@ def _two_runs(name: str, late: str = "as_written", on_duplicate: str = "error")
         tune(spark)
         workspace = Workspace(spark)
         table = workspace.table(name)
-        refresh(spark, name, table, _inputs(spark, sf_dir, first=True), workspace)
-        out = refresh(spark, name, table, _inputs(spark, sf_dir), workspace, late, on_duplicate)
+        refresh(spark, name, table, DemoInputs(spark, sf_dir, first_run=True), workspace)
+        out = refresh(spark, name, table, DemoInputs(spark, sf_dir), workspace, late, on_duplicate)
         return cents(out) if name == DAILY.name else out
 
     return query
@@ -234,7 +243,7 @@ def _streamed(name: str) -> Query:
 
 # checks --------------------------------------------------------------------
 
-def _source_checks(inputs: Inputs) -> DataFrame:
+def _source_checks(inputs: DemoInputs) -> DataFrame:
     nulls = [
         (inputs.events, "events", dq.EVENT_CHECKS),
         (inputs.installs, "installs_attribution", dq.INSTALL_CHECKS),
@@ -247,12 +256,12 @@ def _source_checks(inputs: Inputs) -> DataFrame:
     return out
 
 
-def _unique_check(inputs: Inputs) -> DataFrame:
+def _unique_check(inputs: DemoInputs) -> DataFrame:
     checks = [c for c in dq.INSTALL_CHECKS if isinstance(c, dq.Unique)]
     return dq.run_checks(inputs.installs, "installs_attribution", checks)
 
 
-def _model_checks(inputs: Inputs) -> DataFrame:
+def _model_checks(inputs: DemoInputs) -> DataFrame:
     return (
         dq.run_checks(games.fct_games(inputs.events), "fct_games", dq.GAME_CHECKS)
         .unionByName(dq.run_checks(rooms.fct_rooms(inputs.events), "fct_rooms", dq.ROOM_CHECKS))
@@ -332,10 +341,10 @@ def all_queries() -> dict[str, Query]:
         "scalar_max_date": over_inputs(lambda i: i.daily.agg(F.max("date_utc").alias("max_date"))),
         "filter_latest_date": over_inputs(lambda i: cents(_latest_days(i))),
         "latest_revenue": over_inputs(
-            lambda i: cents(roas.latest_revenue(i.daily, i.installs, _latest(i)))
+            lambda i: cents(roas.latest_revenue(i.daily, i.installs, i.latest))
         ),
         "cumulative_revenue": over_inputs(
-            lambda i: cents(roas.cumulative_revenue(i.daily, i.installs, _latest(i)), "cumulative_revenue")
+            lambda i: cents(roas.cumulative_revenue(i.daily, i.installs, i.latest), "cumulative_revenue")
         ),
         "days_since_install": over_inputs(lambda i: cents(_ages(i), "cumulative_revenue")),
         "filter_cohort_90": over_inputs(lambda i: cents(roas.within_90_days(_ages(i)), "cumulative_revenue")),
