@@ -6,10 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchledger.functions import as_truth, or_else
-from matchledger.operators.joins import any_null, left_joins, rows_of
+from matchledger.operators.joins import (
+    any_null,
+    laned_left_joins,
+    left_joins,
+    repeated_keys,
+    rows_of,
+)
 from matchledger.operators.watermark import incremental_filter
 from matchledger.operators.windows import first_row
 from matchledger.schemas import GAMES, MATCH_KEYS
+from matchledger.session import Workspace
 from matchledger.sources.views import (
     finished_events,
     joined_events,
@@ -74,6 +81,18 @@ def fct_games(events: DataFrame, since: Column | None = None) -> DataFrame:
     )
 
 
+def fct_games_split(events: DataFrame, workspace: Workspace, limit: int = 1_000_000) -> DataFrame:
+    """`fct_games` for a log in which single matches repeat a later event very often.
+
+    Counts the later events per match first, and stages the few matches with
+    more than `limit` of one type. Very many *joins* of a match need no such
+    care: the adaptive join splits them.
+    """
+    later = [submissions(events), closings(events), claims(events)]
+    _, repeated = workspace.stage(repeated_keys(later, MATCH_KEYS, limit), "repeated")
+    return as_games(laned_left_joins(joins(events), later, MATCH_KEYS, repeated))
+
+
 def _earliest(df: DataFrame, time: str, *tie_breakers: str) -> DataFrame:
     order = [F.asc_nulls_last(time), *[F.asc_nulls_last(c) for c in tie_breakers]]
     return first_row(df, MATCH_KEYS, *order)

@@ -88,6 +88,10 @@ def _lifecycle(events: DataFrame) -> DataFrame:
     ).select(*MATCH_KEYS, "joined_time", "submit_time", "room_close_time", "claim_time")
 
 
+def _split_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return games.fct_games_split(demo.game_events(tune(spark), sf_dir), Workspace(spark))
+
+
 def _null_handling(events: DataFrame) -> DataFrame:
     return events.select(
         "event_name", "player_id", "timestamp_utc",
@@ -289,6 +293,7 @@ def all_queries() -> dict[str, Query]:
         "scalar_null_handling": over_events(_null_handling),
         "did_claim_flag": over_events(_did_claim),
         "fct_games": over_events(games.fct_games),
+        "fct_games_split": _split_games,
         "fct_games_dedup": over_events(games.fct_games_dedup),
         "partitioned_roundtrip": _stored("fct_games", games.fct_games),
         # rooms

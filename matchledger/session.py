@@ -87,3 +87,7 @@ class Workspace:
     def release(self, *names: str) -> None:
         for name in names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def drop(self) -> None:
+        """Remove the database with every table still in it."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")

@@ -396,6 +396,7 @@ def all_statements() -> dict[str, str]:
         f"SELECT {MATCH}, joined_time, claim_time, did_claim_reward FROM g", games("g")
     )
     s["fct_games"] = statement("SELECT * FROM g", games("g"))
+    s["fct_games_split"] = s["fct_games"]
     s["fct_games_dedup"] = statement("SELECT * FROM g", games_dedup("g"))
     s["partitioned_roundtrip"] = s["fct_games"]
 

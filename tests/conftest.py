@@ -25,7 +25,9 @@ def spark():
 
 @pytest.fixture()
 def workspace(spark):
-    return Workspace(spark)
+    space = Workspace(spark)
+    yield space
+    space.drop()
 
 
 @pytest.fixture()

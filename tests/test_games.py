@@ -2,9 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchledger import schemas
-from matchledger.plans.games import fct_games, fct_games_dedup, joins
-from matchledger.schemas import GAMES
-from tests.conftest import claimed, closed, finished, joined
+from matchledger.operators import joins as joins_module
+from matchledger.plans.games import claims, fct_games, fct_games_dedup, fct_games_split, joins
+from matchledger.schemas import GAMES, MATCH_KEYS
+from matchledger.sources import demo
+from tests.conftest import SF_DIR, bag, claimed, closed, finished, joined
 
 
 def test_whole_match(log):
@@ -90,6 +92,7 @@ def eager_skew_splitting(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
     }
     before = {k: spark.conf.get(k, None) for k in small}
     for k, v in small.items():
@@ -121,3 +124,37 @@ def test_a_match_with_a_third_of_the_joins_is_split(spark, eager_skew_splitting)
     assert sum(r.did_claim_reward for r in rows) == 10000 + sum(1 for i in range(25000) if i % 3)
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("SortMergeJoin(skew=true)") == 3
+
+
+def test_a_match_with_a_third_of_the_claims_is_cut_into_lanes(spark, workspace):
+    claims_of = _typed(spark, schemas.REWARD_CLAIMED, "if(id % 3 = 0, 0, id)")
+    events = claims_of
+    for name in (schemas.JOINED, schemas.FINISHED, schemas.ROOM_CLOSED):
+        events = events.unionByName(_typed(spark, name, "id").filter("player_id < 900"))
+    laned = joins_module.repeated_keys([claims(events)], MATCH_KEYS, 500)
+    assert [(r.player_id, r["_side"], r["_lanes"]) for r in laned.collect()] == [(0, 0, 20)]
+    split = fct_games_split(events, workspace, limit=500)
+    assert split.count() == 900 - 1 + 10000
+    assert bag(split) == bag(fct_games(events))
+    # The copies of the one join are in as many lanes, none of which holds much of the result.
+    rows = joins_module.laned_left_joins(joins(events), [claims(events)], MATCH_KEYS, laned)
+    assert rows.filter("player_id = 0").count() == 10000
+
+
+@pytest.mark.parametrize("limit", [1, 2, 1000])
+def test_lanes_change_nothing_over_the_whole_log(spark, workspace, limit):
+    events = demo.game_events(spark, SF_DIR)
+    assert bag(fct_games_split(events, workspace, limit)) == bag(fct_games(events))
+
+
+@pytest.mark.parametrize("limit", [1, 2, 100])
+def test_lanes_agree_with_the_plain_join(log, workspace, limit):
+    events = log(
+        joined("05 10:00"), joined("05 10:01", player_id=2), joined("05 10:02", tournament_id=None),
+        joined("05 10:03"), joined("05 10:04", player_id=5),
+        finished("05 10:05", score=1), finished("05 10:06", score=2), finished("05 10:07", score=3),
+        claimed("05 10:30"), claimed("05 10:31"), claimed("05 10:30", player_id=3), claimed("05 10:30", tournament_id=None),
+        closed("05 10:20", player_id=2), closed("05 10:21", player_id=2), closed("05 10:22", player_id=2),
+    )
+    assert fct_games(events).count() == 2 * 3 * 2 + 3 + 1 + 1
+    assert bag(fct_games_split(events, workspace, limit)) == bag(fct_games(events))

@@ -14,12 +14,14 @@ from tests.conftest import SF_DIR
 def stored(spark):
     from matchledger.session import Workspace
 
-    table = Workspace(spark).table("events")
+    workspace = Workspace(spark)
+    table = workspace.table("events")
     write_event_log(demo.game_events(spark, SF_DIR), table)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield spark.table(table)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    workspace.drop()
 
 
 def plan(df) -> str:
@@ -38,6 +40,8 @@ def test_games_shuffle_each_input_once(stored):
     text = plan(games.fct_games(stored))
     assert exchanges(text) == 4
     assert len(scans(text)) == 4
+    # Each join has the column that spreads incomplete keys among its keys.
+    assert len(re.findall(r"SortMergeJoin \[[^\]]*_spread[^\]]*\]", text)) == 3
     for scan in scans(text):
         assert "EqualTo(event_name," in scan
         assert "price_usd" not in scan
@@ -78,13 +82,12 @@ def test_ranks_are_limited_before_the_shuffle(stored):
     assert re.search(r"WindowGroupLimit.*Partial", text) and exchanges(text) == 1
 
 
-def test_roas_over_a_stored_daily_fact_prunes_to_one_day(spark, stored):
+def test_roas_over_a_stored_daily_fact_prunes_to_one_day(spark, stored, workspace):
     from matchledger.operators.watermark import high_water_mark
     from matchledger.schemas import DAILY
-    from matchledger.session import Workspace
     from matchledger.sources.tables import create_fact, read_fact
 
-    table = Workspace(spark).table("daily")
+    table = workspace.table("daily")
     create_fact(daily.daily_player(stored), table, DAILY)
     stored_daily = read_fact(spark, table, DAILY)
     latest = high_water_mark(stored_daily, "date_utc")
