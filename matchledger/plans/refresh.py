@@ -2,11 +2,13 @@
 
 `late="as_written"` keeps the high-water marks as the models write them.
 `late="reprocess"` rebuilds what new events touch, so that the table equals a
-full rebuild.
+full rebuild. For the daily fact that is every day from the last stored one on,
+or from an earlier `redo_from` when events for past days have come in.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,7 @@ def refresh(
     workspace: Workspace,
     late: str = "as_written",
     on_duplicate: str = "error",
+    redo_from: dt.date | None = None,
 ) -> DataFrame:
     """Build `table` if it is not there, else merge what is new; returns the stored fact."""
     if late not in ("as_written", "reprocess"):
@@ -57,7 +60,7 @@ def refresh(
         if late == "as_written":
             source = _as_written(name, inputs, stored, workspace, staged)
         else:
-            source = _reprocessed(name, inputs, stored, workspace, staged)
+            source = _reprocessed(name, inputs, stored, workspace, staged, redo_from)
         # What is rebuilt takes the place of what was there, under incomplete keys too.
         upsert_table(spark, table, source, fact, workspace, on_duplicate, null_safe=late == "reprocess")
     finally:
@@ -106,7 +109,12 @@ def _as_written(
 
 
 def _reprocessed(
-    name: str, inputs: Inputs, stored: DataFrame, workspace: Workspace, staged: list[str]
+    name: str,
+    inputs: Inputs,
+    stored: DataFrame,
+    workspace: Workspace,
+    staged: list[str],
+    redo_from: dt.date | None,
 ) -> DataFrame:
     events = inputs.events
     if stored.isEmpty():
@@ -120,7 +128,10 @@ def _reprocessed(
         touched = _stage(workspace, staged, touched_keys(events, ROOM_KEYS, since), "touched")
         return rooms.rooms_of(events, touched)
     if name == DAILY.name:
-        return daily.daily_player_from(events, stored, high_water_mark(stored, "date_utc"))
+        first_day = high_water_mark(stored, "date_utc")
+        if redo_from is not None:
+            first_day = F.least(first_day, F.lit(redo_from))
+        return daily.daily_player_from(events, stored, first_day)
     return _full(name, inputs)
 
 

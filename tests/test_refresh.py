@@ -67,6 +67,17 @@ def test_continued_daily_equals_a_full_build(spark, workspace, log, cut):
     assert bag(out) == bag(daily.daily_player(everything))
 
 
+def test_daily_is_redone_from_a_day_with_late_events(spark, workspace, log):
+    on_time = [joined("05 10:00", balance_before=100), purchase("06 09:00", player_id=2, price_usd=1.0),
+               joined("08 10:00", balance_before=70)]
+    late = [joined("06 08:00", balance_before=90), purchase("07 08:00", player_id=3, price_usd=2.0)]
+    everything = log(*on_time, *late, finished("09 10:00", balance_before=60))
+    out = two_runs(
+        spark, workspace, "daily_player", log(*on_time), everything, late="reprocess", redo_from=day(6)
+    )
+    assert bag(out) == bag(daily.daily_player(everything))
+
+
 def test_empty_target_loads_nothing_as_written(spark, workspace, log):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
