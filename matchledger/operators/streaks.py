@@ -110,17 +110,26 @@ def true_streaks(flags: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFr
     Each slice is reduced to its run at the start, its run at the end and its
     longest run; runs that cross slices are put together from those.
     """
-    rows = _sliced(flags, slice_seconds).select(
-        *DAY_KEYS, "_slice", "_key",
-        F.explode(
-            F.create_map(F.lit("win"), F.col("is_win"), F.lit("loss"), F.col("is_loss"))
-        ).alias("_kind", "_hit"),
-    )
     group = [*DAY_KEYS, "_kind"]
-    inside = W.partitionBy(*group, "_slice").orderBy("_key").rowsBetween(W.unboundedPreceding, W.currentRow)
-    # Misses so far number the runs of a slice; run 0 is the one at its start.
+    inside = W.partitionBy(*DAY_KEYS, "_slice").orderBy("_key").rowsBetween(W.unboundedPreceding, W.currentRow)
+
+    def numbered(kind: str, flag: str) -> Column:
+        """The flag with the number of its run: the misses so far, 0 at the start of a slice."""
+        return F.struct(
+            F.lit(kind).alias("_kind"), F.col(flag).alias("_hit"), F.col(f"_{kind}_run").alias("_run")
+        )
+
     runs = (
-        rows.withColumn("_run", F.sum(1 - F.col("_hit")).over(inside))
+        _sliced(flags, slice_seconds)
+        .select(
+            *DAY_KEYS, "_slice", "is_win", "is_loss",
+            F.sum(1 - F.col("is_win")).over(inside).alias("_win_run"),
+            F.sum(1 - F.col("is_loss")).over(inside).alias("_loss_run"),
+        )
+        .select(
+            *DAY_KEYS, "_slice",
+            F.inline(F.array(numbered("win", "is_win"), numbered("loss", "is_loss"))),
+        )
         .groupBy(*group, "_slice", "_run")
         .agg(F.sum("_hit").alias("_length"))
     )
