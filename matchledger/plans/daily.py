@@ -1,8 +1,9 @@
 """One row per player-day from the first day seen to the last day of the log.
 
-All metrics of a day come out of one conditional aggregation, so the raw log
-is read once and combined before it is shuffled. What crosses the second
-shuffle is a player's active days, a number the calendar bounds.
+All metrics of a day come out of one conditional aggregation, combined before
+the shuffle; only the two balances have rank windows of their own, and those
+are limited before the shuffle. What crosses the next shuffle is a player's
+active days, a number the calendar bounds.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from matchledger.sources.views import (
     purchase_events,
     reward_claimed_events,
     room_closed_events,
-    typed_events,
 )
 
 # Zero, not NULL, on a day without such events; hence never carried forward.

@@ -15,7 +15,6 @@ from pyspark.sql import Window as W
 from matchledger.functions import as_truth, minutes_between, or_zero
 from matchledger.operators.joins import any_null, rows_of
 from matchledger.operators.multiplicity import repeat_rows
-from matchledger.operators.watermark import incremental_filter
 from matchledger.schemas import FINISHED, JOINED, ROOM_CLOSED, ROOM_KEYS, ROOMS
 from matchledger.sources.views import finished_events, joined_events, room_closed_events
 

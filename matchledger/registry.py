@@ -16,10 +16,10 @@ from matchledger.functions import cohort_label, minutes_between, or_else, or_zer
 from matchledger.operators import quality as dq
 from matchledger.operators import spine, streaks
 from matchledger.operators.upsert import upsert_frame
-from matchledger.operators.watermark import high_water_mark, incremental_filter
+from matchledger.operators.watermark import high_water_mark
 from matchledger.plans import daily, games, roas, rooms
 from matchledger.plans.refresh import FACTS, refresh
-from matchledger.schemas import COHORT_KEYS, DAILY, DAY_KEYS, GAMES, MATCH_KEYS, ROAS, ROOM_KEYS, ROOMS
+from matchledger.schemas import DAILY, DAY_KEYS, GAMES, MATCH_KEYS, ROAS, ROOM_KEYS, ROOMS
 from matchledger.session import Workspace, tune
 from matchledger.sources import demo, views
 from matchledger.sources.tables import create_fact, read_fact

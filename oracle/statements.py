@@ -355,7 +355,7 @@ def nulls(table: str, label: str, *columns: str) -> list[tuple[str, str, str, st
 
 def all_statements() -> dict[str, str]:
     s: dict[str, str] = {}
-    day, day_opts = "date_utc, player_id", "game_events"
+    day, log = "date_utc, player_id", "game_events"
 
     # sources and typed views
     s["src_events"] = statement("SELECT * FROM game_events")
@@ -431,9 +431,9 @@ def all_statements() -> dict[str, str]:
     s["date_bounds"] = statement(
         "SELECT min(date_utc) AS min_date, max(date_utc) AS max_date FROM game_events"
     )
-    s["date_spine"] = statement(_spine(day_opts))
-    s["balance_start"] = statement(_opening(day_opts))
-    s["balance_end"] = statement(_closing(day_opts))
+    s["date_spine"] = statement(_spine(log))
+    s["balance_start"] = statement(_opening(log))
+    s["balance_end"] = statement(_closing(log))
     s["balance_start_dedup"] = statement(
         f"""SELECT DISTINCT ON (player_id, date_utc) date_utc, player_id, balance_before FROM {joined()}
         ORDER BY player_id, date_utc, timestamp_utc, room_id, tournament_id, balance_before"""
@@ -442,40 +442,40 @@ def all_statements() -> dict[str, str]:
         f"""SELECT player_id, date_utc, timestamp_utc, room_id, tournament_id FROM {joined()}
         QUALIFY rank() OVER (PARTITION BY player_id, date_utc ORDER BY timestamp_utc) = 1"""
     )
-    s["matches_played"] = statement(_played(day_opts))
-    s["match_duration_daily"] = statement(_lasted(day_opts))
+    s["matches_played"] = statement(_played(log))
+    s["match_duration_daily"] = statement(_lasted(log))
     s["match_summary"] = statement(
-        f"SELECT * REPLACE (round(avg_score, 3) AS avg_score, round(avg_position, 3) AS avg_position) FROM ({_scores(day_opts)})"
+        f"SELECT * REPLACE (round(avg_score, 3) AS avg_score, round(avg_position, 3) AS avg_position) FROM ({_scores(log)})"
     )
     s["match_summary_closed_only"] = statement(
         f"""SELECT * REPLACE (round(avg_score, 3) AS avg_score, round(avg_position, 3) AS avg_position)
         FROM (SELECT {day}, {SUMMARY} FROM {closed()} GROUP BY ALL)"""
     )
-    s["match_reward"] = statement(_rewards(day_opts))
+    s["match_reward"] = statement(_rewards(log))
     s["matches_won_true"] = statement(
         f"""SELECT {day}, count(*) FILTER (reward IS NOT NULL OR coins_claimed IS NOT NULL) AS matches_won_reward,
             count(*) AS matches_claimed FROM {claimed()} GROUP BY ALL"""
     )
-    s["coins_summary"] = statement(_coins(day_opts))
-    s["purchases_daily"] = statement(ROUNDED + f"({_purchases(day_opts)})")
+    s["coins_summary"] = statement(_coins(log))
+    s["purchases_daily"] = statement(ROUNDED + f"({_purchases(log)})")
     s["win_loss_flags"] = statement(
         f"""SELECT player_id, date_utc, room_id, tournament_id, timestamp_utc,
             if(position = 0, 1, 0) AS is_win, if(coalesce(reward, 0) = 0, 1, 0) AS is_loss FROM {closed()}"""
     )
     flag_columns = "player_id, date_utc, room_id, tournament_id, timestamp_utc, is_win, is_loss"
     s["event_order"] = statement(
-        f"SELECT player_id, date_utc, room_id, tournament_id, timestamp_utc, event_order FROM ({_flags(day_opts)})"
+        f"SELECT player_id, date_utc, room_id, tournament_id, timestamp_utc, event_order FROM ({_flags(log)})"
     )
     s["previous_flags"] = statement(
-        f"SELECT {flag_columns}, previous_is_win, previous_is_loss FROM ({_flags(day_opts)})"
+        f"SELECT {flag_columns}, previous_is_win, previous_is_loss FROM ({_flags(log)})"
     )
     s["streak_groups"] = statement(
-        f"SELECT {flag_columns}, win_streak_group, loss_streak_group FROM ({_groups(day_opts)})"
+        f"SELECT {flag_columns}, win_streak_group, loss_streak_group FROM ({_groups(log)})"
     )
     s["streak_lengths"] = statement(
-        f"SELECT player_id, date_utc, win_streak_length, loss_streak_length FROM ({_lengths(day_opts)})"
+        f"SELECT player_id, date_utc, win_streak_length, loss_streak_length FROM ({_lengths(log)})"
     )
-    s["final_streaks"] = statement(_streaks(day_opts))
+    s["final_streaks"] = statement(_streaks(log))
     s["true_streaks"] = statement(
         """SELECT player_id, date_utc,
             max(run) FILTER (kind = 'win') AS max_reward_won_streak,
@@ -488,7 +488,7 @@ def all_statements() -> dict[str, str]:
                           SELECT player_id, date_utc, event_order, 'loss', is_loss FROM flagged))
               GROUP BY ALL)
         GROUP BY ALL""",
-        f"flagged AS ({_flags(day_opts)})",
+        f"flagged AS ({_flags(log)})",
     )
     s["daily_metrics_joined"] = statement(ROUNDED + "m", day_table("m"))
     s["forward_fill"] = statement(ROUNDED + "d", daily("d"))
@@ -548,7 +548,7 @@ def all_statements() -> dict[str, str]:
         FROM (SELECT i.*, upper.cohort_period, p.revenue
               FROM installs_attribution i
               CROSS JOIN (VALUES ('D7', 7), ('D14', 14), ('D30', 30), ('D90', 90)) upper(cohort_period, days)
-              LEFT JOIN ({_purchases(day_opts)}) p ON p.player_id = i.player_id
+              LEFT JOIN ({_purchases(log)}) p ON p.player_id = i.player_id
                    AND date_diff('day', i.install_date, p.date_utc) BETWEEN 0 AND upper.days)
         LEFT JOIN spent USING (media_source, install_country)
         GROUP BY media_source, install_country, install_date, cohort_period""",
