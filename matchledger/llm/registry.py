@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchledger.llm.language import op8_language
+from matchledger.llm.packing import op2_packing
+from matchledger.llm.repeats import op4_repeats
 from matchledger.llm.simhash import op9_simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op2_packing": op2_packing,
+        "op4_repeats": op4_repeats,
         "op8_language": op8_language,
         "op9_simhash": op9_simhash,
     }
