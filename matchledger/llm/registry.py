@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchledger.llm.language import op8_language
+from matchledger.llm.mixing import op7_mixing, op7_sql
 from matchledger.llm.packing import op2_packing
 from matchledger.llm.repeats import op4_repeats
 from matchledger.llm.simhash import op9_simhash
@@ -18,10 +19,13 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op2_packing": op2_packing,
         "op4_repeats": op4_repeats,
+        "op7_mixing": op7_mixing,
         "op8_language": op8_language,
         "op9_simhash": op9_simhash,
     }
 
 
 def llm_statements() -> dict[str, str]:
-    return {}
+    return {
+        "op7_mixing": op7_sql(),
+    }

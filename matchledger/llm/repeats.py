@@ -205,7 +205,8 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, sizes: dict[str, Column] | N
     later = _merged(_spans(rows.select(TAG, "_text"), scratch).filter("later"))
     by_row = later.groupBy(TAG).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
     joined = tagged_rows(docs).join(scratch.stage(by_row, "cuts"), TAG, "left").select(ROW, "_cuts")
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +217,7 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, sizes: dict[str, Column] | N
                     left = cut_words(texts[i].encode(), [(c["start"], c["end"]) for c in cuts]).decode()
                     texts[i], keep[i] = left, bool(left.strip())
             columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, docs.columns).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
     out = joined.mapInArrow(of_batches, docs.schema)
     return out.withColumns(sizes) if sizes else out
