@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matchledger.llm.language import op8_language
 from matchledger.llm.mixing import op7_mixing, op7_sql
+from matchledger.llm.nearest import op3_nearest, op3_sql
 from matchledger.llm.packing import op2_packing
 from matchledger.llm.repeats import op4_repeats
 from matchledger.llm.simhash import op9_simhash
+from matchledger.llm.topk import op10_sql, op10_topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,14 +20,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_packing": op2_packing,
+        "op3_nearest": op3_nearest,
         "op4_repeats": op4_repeats,
         "op7_mixing": op7_mixing,
         "op8_language": op8_language,
         "op9_simhash": op9_simhash,
+        "op10_topk": op10_topk,
     }
 
 
 def llm_statements() -> dict[str, str]:
     return {
+        "op3_nearest": op3_sql(),
         "op7_mixing": op7_sql(),
+        "op10_topk": op10_sql(),
     }
