@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchledger.llm.language import op8_language
+from matchledger.llm.licenses import op5_licenses, op5_sql
 from matchledger.llm.mixing import op7_mixing, op7_sql
 from matchledger.llm.nearest import op3_nearest, op3_sql
 from matchledger.llm.packing import op2_packing
 from matchledger.llm.repeats import op4_repeats
 from matchledger.llm.simhash import op9_simhash
 from matchledger.llm.topk import op10_sql, op10_topk
+from matchledger.llm.warc import op6_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +24,8 @@ def llm_queries() -> dict[str, Query]:
         "op2_packing": op2_packing,
         "op3_nearest": op3_nearest,
         "op4_repeats": op4_repeats,
+        "op5_licenses": op5_licenses,
+        "op6_warc": op6_warc,
         "op7_mixing": op7_mixing,
         "op8_language": op8_language,
         "op9_simhash": op9_simhash,
@@ -32,6 +36,7 @@ def llm_queries() -> dict[str, Query]:
 def llm_statements() -> dict[str, str]:
     return {
         "op3_nearest": op3_sql(),
+        "op5_licenses": op5_sql(),
         "op7_mixing": op7_sql(),
         "op10_topk": op10_sql(),
     }
