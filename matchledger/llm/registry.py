@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from matchledger.llm.html_text import op1_html_text
 from matchledger.llm.language import op8_language
 from matchledger.llm.licenses import op5_licenses, op5_sql
 from matchledger.llm.mixing import op7_mixing, op7_sql
@@ -21,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_html_text": op1_html_text,
         "op2_packing": op2_packing,
         "op3_nearest": op3_nearest,
         "op4_repeats": op4_repeats,
