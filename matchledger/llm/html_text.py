@@ -208,11 +208,9 @@ class Renderer:
         if self._blank and self.lines and self.lines[-1]:
             self.lines.append("")
         self._blank = False
-        pad = " " * self._indent
-        if self._marker:
-            pad = pad[: -len(self._marker)] + self._marker if len(pad) >= len(self._marker) else self._marker
-            self._marker = ""
-        self.lines.append((pad + line).rstrip() if line else "")
+        pad = " " * (self._indent - len(self._marker)) + self._marker
+        self._marker = ""
+        self.lines.append((pad + line).rstrip())
 
     # blocks
 
@@ -288,7 +286,6 @@ class Renderer:
         elif tag == "li":
             if self._marker:  # an item without text still has its bullet
                 self._put("")
-                self._marker = ""
             self._indent -= node.attrs["\0indent"]
         elif tag in ("dd", "blockquote"):
             self._indent -= 4

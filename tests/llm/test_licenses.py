@@ -1,0 +1,79 @@
+import re
+
+import pytest
+
+from matchledger.llm.licenses import BASE_PHRASES, TokenAutomaton, parse_template, scan_licenses, scan_text, words_of
+
+
+def accepted(markup: str, text: str) -> list[int]:
+    words = words_of(text.encode())
+    return list(TokenAutomaton.of(markup).starts(words, b" " + b" ".join(words) + b" "))
+
+
+def test_words():
+    text = "A-b_c3É\x7fd{É}~ſ K\x00z\u0080é"
+    lower = "".join(c.lower() if c.isascii() else c for c in text)
+    assert [w.decode() for w in words_of(text.encode())] == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def test_mandatory_wording_must_match_exactly():
+    assert accepted("all rights reserved", "x All Rights-Reserved. all rights not reserved; all rights reserved") == [1, 8]
+    assert accepted("cc by", "ccby c c by cc by cc-by") == [4, 6]
+
+
+def test_optional_and_free_parts():
+    markup = 'under <<beginOptional>>the <<beginOptional>>very<<endOptional>> old<<endOptional>> license of <<var;name="x";words="1-2">> now'
+    assert accepted(markup, "under license of me now") == [0]
+    assert accepted(markup, "under the old license of you and me now") == []  # three words where two are free
+    assert accepted(markup, "under the old license of you all now") == [0]
+    assert accepted(markup, "under the very old license of me now") == [0]
+    assert accepted(markup, "under the very license of me now") == []
+    assert accepted(markup, "under license of now") == []
+    assert accepted('<<beginOptional>>a<<endOptional>> b<<var;words="0-1">> c', "a b c b x c b x y c") == [0, 1, 3]
+
+
+def test_broken_templates():
+    for markup in ("a <<endOptional>>", "<<beginOptional>> a", "a <<other>>", "<<beginOptional>>a<<endOptional>>", '<<var;words="0-2">>'):
+        with pytest.raises(ValueError):
+            TokenAutomaton.of(markup)
+    assert parse_template('x<<var;name="n">>') == [b"x", (0, 20)]
+
+
+def plain(text: str | None):
+    lower = "".join(c.lower() if c.isascii() else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    places, labels = [], set()
+    for phrase, label in BASE_PHRASES.items():
+        p = phrase.split()
+        at = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+        places += at
+        labels |= {label} if at else set()
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_odd_documents(documents):
+    texts = [
+        None, "", "...", "Licensed under CC BY-NC 4.0. CC BY", "the GNU General Public License, General Public License!",
+        "x " * 100_000 + "All rights reserved", "Copyright (c) 2020 Some One. All rights reserved.", "cc", "by cc",
+        "all rights reserved all rights reserved cc by", "Released under the MIT License.", "released under a MIT License",
+        "Licensed under the Apache License, Version 2.0", "licensed under the gnu general public license, version 3",
+    ]
+    docs = documents(*enumerate(texts), (None, "CC BY"), (3, "twice"), (3, "twice"))
+    rows = scan_licenses(docs).collect()
+    assert len(rows) == len(texts) + 3
+    found = {r.doc_id: r for r in rows if r.doc_id is not None and r.n_words != 1}
+    for k, text in enumerate(texts):
+        if k in found:
+            r = found[k]
+            assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == plain(text), text
+            assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+    assert found[3].labels == "cc-by,cc-by-nc-4.0"
+    assert found[6].labels == "copyright-notice,reserved"
+    assert found[10].labels == "mit" and found[11].labels == ""
+    assert found[12].labels == "apache-2.0" and found[13].labels == "gpl,gpl-3.0"
+    assert [found[k].score for k in (0, 6, 9)] == [0.0, 1.0, 0.5]
+
+
+def test_empty_table(documents):
+    assert scan_licenses(documents((1, "a")).limit(0)).count() == 0
+    assert scan_text(b"") == (0, 0, None, None, "", "", 0.0)

@@ -1,0 +1,91 @@
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from matchledger.llm import mixing
+from matchledger.llm.common import ROW
+
+
+def corpus(documents):
+    rows, k = [], 0
+    for source, lang, n, size in (("a", "en", 900, 20), ("a", "fr", 100, 10), ("b", "en", 50, 30), ("b", "fr", 40, 25), (None, "fr", 30, 12)):
+        for _ in range(n):
+            rows.append((k, "word " * size, lang, source))
+            k += 1
+    return documents(*rows)
+
+
+BY = {"source": F.col, "lang": F.col}
+
+
+def test_marginals_hold_after_raking(spark, scratch, documents):
+    docs = corpus(documents)
+    by = {"source": F.col("source"), "lang": F.col("lang")}
+    cells = mixing.token_cells(docs, by, mixing.word_count(), scratch)
+    targets = {
+        "source": spark.createDataFrame([("a", 0.5), ("b", 0.3), (None, 0.2)], "source string, share double"),
+        "lang": spark.createDataFrame([("en", 0.4), ("fr", 0.6)], "lang string, share double"),
+    }
+    raked = mixing.rake(cells, targets, scratch, sweeps=30).collect()
+    assert len(raked) == 5
+    sums = defaultdict(float)
+    for r in raked:
+        sums[r.source] += r.weight
+        sums[r.lang] += r.weight
+    assert {k: round(v, 5) for k, v in sums.items()} == {"a": 0.5, "b": 0.3, None: 0.2, "en": 0.4, "fr": 0.6}
+
+    mixed = mixing.mix(docs, scratch, by, targets, sweeps=30)
+    expected = {(r.source, r.lang): r.weight / r.tokens for r in raked}
+    largest = max(expected.values())
+    got = {(r.source, r.lang): r.probability for r in mixed.select("source", "lang", "probability").distinct().collect()}
+    assert got == pytest.approx({k: v / largest for k, v in expected.items()})
+
+
+def test_tasks_for_many_cells_give_the_same(monkeypatch, spark, scratch, documents):
+    docs = corpus(documents)
+    few = {(r.doc_id, round(r.probability, 9)) for r in mixing.mix(docs, scratch).select(f"{ROW}.doc_id", "probability").collect()}
+    monkeypatch.setattr(mixing, "CELLS_A_TASK", 2)
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", 0)
+    many = {(r.doc_id, round(r.probability, 9)) for r in mixing.mix(docs, scratch).select(f"{ROW}.doc_id", "probability").collect()}
+    assert few == many
+
+
+def test_the_plan_has_no_python(spark, scratch, documents):
+    plan = mixing.mix(corpus(documents), scratch)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_the_draw_follows_id_and_seed(spark, documents):
+    docs = documents(*[(k, "a") for k in range(2_000)], (None, "a"))
+    u = [r.u for r in docs.select(mixing.draw().alias("u")).collect()]
+    assert all(0 <= x < 1 for x in u) and 0.45 < sum(u) / len(u) < 0.55
+    assert u != [r.u for r in docs.select(mixing.draw(seed="other").alias("u")).collect()]
+
+
+def test_topics_go_by_the_whole_text(documents):
+    texts = ["", None, "a | b | c", "Stop! Go! " * 9, "line\n" * 9, "plain prose without more " * 20, "x" * 900 + "|" * 100]
+    found = documents(*enumerate(texts), partitions=1).select("doc_id", mixing.layout_topic().alias("t")).collect()
+    assert [r.t for r in sorted(found)] == ["empty", "empty", "table", "loud", "lines", "prose", "table"]
+
+
+def test_odd_documents(scratch, documents):
+    docs = documents((1, None, None, None), (2, "", "en", "a"), (3, "some words", "en", "a"), (3, "some words", "en", "a"), (None, "w " * 90_000, None, "a"))
+    mixed = mixing.mix(docs, scratch)
+    kept = mixed.select(f"{ROW}.*")
+    assert kept.schema == docs.schema
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} <= {3, None}
+    assert len(rows) > 0
+
+
+def test_no_tokens_and_no_rows(scratch, documents):
+    assert mixing.mix(documents((1, None), (2, "")), scratch).count() == 0
+    assert mixing.mix(documents((1, "a")).limit(0), scratch).count() == 0
+
+
+def test_a_category_without_target_gets_no_weight(spark, scratch, documents):
+    docs = corpus(documents)
+    by = {"lang": F.col("lang")}
+    targets = {"lang": spark.createDataFrame([("fr", 1.0)], "lang string, share double")}
+    assert {r.lang for r in mixing.mix(docs, scratch, by, targets).select("lang").collect()} == {"fr"}

@@ -1,0 +1,94 @@
+import random
+from collections import defaultdict
+
+import pytest
+
+from matchledger.llm.repeats import MIN_WORDS, cut_words, drop_repeats, op4_repeats, repeated_passages
+from tests.conftest import SF_DIR
+
+
+def covered(texts) -> tuple[dict[int, set], dict[int, set]]:
+    """Word places in repeated windows, and in windows with an earlier place, of each text by number."""
+    places = defaultdict(list)
+    for k, text in enumerate(texts):
+        words = (text or "").encode().split()
+        for i in range(len(words) - MIN_WORDS + 1):
+            places[tuple(words[i : i + MIN_WORDS])].append((k, i))
+    every, later = defaultdict(set), defaultdict(set)
+    for found in places.values():
+        if len(found) > 1:
+            for k, i in found:
+                every[k].update(range(i, i + MIN_WORDS))
+                if (k, i) != min(found):
+                    later[k].update(range(i, i + MIN_WORDS))
+    return every, later
+
+
+def from_rows(rows, number) -> tuple[dict[int, set], dict[int, set]]:
+    every, later = defaultdict(set), defaultdict(set)
+    for r in rows:
+        (later if r.later else every)[number[r.doc_id]].update(range(r.start_word, r.start_word + r.n_words))
+    return every, later
+
+
+def test_query_agrees_with_counting_all_windows(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    number = {r.doc_id: k for k, r in enumerate(rows)}
+    assert from_rows(op4_repeats(spark, SF_DIR).collect(), number) == covered([r.text for r in rows])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_passages_in_all_surroundings(scratch, documents, seed):
+    """Passages around the least length, whole and cut, overlapping and within one text."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(300)}"
+    passages = [[word() for _ in range(n)] for n in (49, 50, 51, 60, 79, 120, 300)]
+    texts = []
+    for _ in range(40):
+        words = [word() for _ in range(rng.randrange(60))]
+        for _ in range(rng.randrange(4)):
+            passage = rng.choice(passages)
+            start = rng.choice([0, 0, rng.randrange(len(passage))])
+            words += passage[start : start + rng.choice([len(passage), 50, 55, 90])] + [word() for _ in range(rng.randrange(30))]
+        texts.append(" ".join(words))
+    texts += [texts[0], "x " * 200, "x " * 130 + "y", "a b " * 70]
+    docs = documents(*enumerate(texts), partitions=1)
+    found = from_rows(repeated_passages(docs, scratch).collect(), {k: k for k in range(len(texts))})
+    assert found == covered(texts)
+
+    kept = {r.doc_id: r.text for r in drop_repeats(docs, scratch).collect()}
+    later = found[1]
+    for k, text in enumerate(texts):
+        left = [w for i, w in enumerate(text.split()) if i not in later[k]]
+        if text.split() and not left:
+            assert k not in kept
+        else:
+            assert kept[k].split() == left
+
+
+def test_cut_words_keeps_the_other_bytes():
+    text = "  one\ttwo  three\nfour é five".encode()
+    assert cut_words(text, [(1, 3)]) == "  one\tfour é five".encode()
+    assert cut_words(text, [(4, 6)]) == b"  one\ttwo  three\nfour "
+    assert cut_words(text, [(0, 1), (5, 6)]) == "  two  three\nfour é ".encode()
+
+
+def test_odd_documents(scratch, documents):
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = documents(
+        (1, None), (2, ""), (3, passage), (3, passage), (None, f"before {passage} after"), (5, " ".join(["long"] * 30_000)),
+        partitions=1,
+    )
+    rows = {(r.doc_id, r.start_word, r.n_words, r.later) for r in repeated_passages(docs, scratch).collect()}
+    assert rows == {
+        (3, 0, 60, False), (3, 0, 60, True), (None, 1, 60, False), (None, 1, 60, True), (5, 0, 30_000, False), (5, 1, 29_999, True),
+    }
+    left = drop_repeats(docs, scratch)
+    assert left.schema == docs.schema
+    kept = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
+    assert kept == sorted([(1, None), (2, ""), (3, passage), (None, "before after"), (5, "long ")], key=repr)
+
+
+def test_empty_table(scratch, documents):
+    docs = documents((1, "a")).limit(0)
+    assert repeated_passages(docs, scratch).count() == drop_repeats(docs, scratch).count() == 0
