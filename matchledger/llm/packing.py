@@ -14,14 +14,14 @@ ranks a size by itself. A rank says which sequence of which pattern a piece is i
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache
-import re
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,53 +34,74 @@ GRID = 16
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 SHARE_ROWS = 500_000
-KEPT_WORDS = 300_000
+KEPT_WORDS = 250_000
 
 
 # tokens ------------------------------------------------------------------------
 
-_LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([^\w\s']*)")
+#: Texts whose words are remembered: blanks, ASCII and Latin letters, without the one that lower case makes two of.
+_LATIN = re.compile("[\t\n -~\u00a1-\u012f\u0131-\u024f]*")
+#: What the vocabulary takes as a word, for lower-cased texts of that kind.
+_LETTERS, _NUMBERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^ \t\n{_LETTERS}{_NUMBERS}]+")
+
+
+def _byte_letters() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
+class Recent:
+    """Values by key for what was asked for lately: two generations, the older of which is dropped when the younger is full."""
+
+    def __init__(self, bound: int):
+        self.bound, self.young, self._old = bound, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys without a value; all others are in `young` afterwards."""
+        if len(self.young) > self.bound:
+            self.young, self._old = {}, self.young
+        young, old = self.young, self._old
+        out = []
+        for key in keys.difference(young):
+            if key in old:
+                young[key] = old[key]
+            else:
+                out.append(key)
+        return out
 
 
 class WordIds:
-    """Ids of texts, by the vocabulary's words: white space parts words and is dropped,
-    so each distinct word is encoded once and kept, up to a bound."""
+    """Ids of texts. The vocabulary lower-cases a text, parts it into words and encodes each by itself, so in
+    texts of Latin letters each distinct word is encoded once while it is remembered; others are encoded whole."""
 
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
-        self._words: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
-
-    def _encode(self, parts: list[str]) -> None:
-        found = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        for part, encoding in zip(parts, found, strict=True):
-            self._parts[part] = np.array(encoding.ids, "<u4").tobytes()
-
-    def _split(self, word: str) -> tuple[str, ...]:
-        """Letters and the marks after them are encoded apart by the vocabulary's own rule; ASCII in lower case."""
-        found = _LETTERS_AND_MARKS.fullmatch(word)
-        if not found:
-            return (word,)
-        letters, marks = found.groups()
-        letters = letters.lower() if letters.isascii() else letters
-        return (letters, marks) if marks else (letters,)
+        self._model, self._letters = self._tokenizer.model, _byte_letters()
+        self._recent = Recent(KEPT_WORDS)
+
+    def _encode(self, word: str) -> bytes:
+        if not word.isascii():
+            word = "".join([self._letters[b] for b in word.encode()])
+        return np.array([t.id for t in self._model.tokenize(word)], "<u4").tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
-        if len(self._words) > KEPT_WORDS:
-            self._words.clear()
-        if len(self._parts) > KEPT_WORDS:
-            self._parts.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words, parts = self._words, self._parts
-        new = {w: self._split(w) for words_of in split for w in words_of if w not in words}
-        if new:
-            missing = dict.fromkeys(p for found in new.values() for p in found if p not in parts)
-            if missing:
-                self._encode(list(missing))
-            for word, found in new.items():
-                words[word] = b"".join([parts[p] for p in found])
-        return [b"".join([words[w] for w in words_of]) for words_of in split]
+        out: list[bytes] = []
+        for k in range(0, len(texts), 100):
+            some = texts[k : k + 100]
+            split = [_PARTS.findall(t.lower()) if _LATIN.fullmatch(t) and "<|" not in t else None for t in some]
+            missing = self._recent.missing(set().union(*filter(None, split)))
+            ids = self._recent.young
+            for word in missing:
+                ids[word] = self._encode(word)
+            out += [self._whole(t) if s is None else b"".join([ids[w] for w in s]) for t, s in zip(some, split, strict=True)]
+        return out
 
 
 @lru_cache(maxsize=2)
