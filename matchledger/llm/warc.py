@@ -140,7 +140,7 @@ def read_records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byte
 # writing -----------------------------------------------------------------------
 
 
-def typed_pages(pages: DataFrame) -> DataFrame:
+def typed_pages(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """(page_id, url, _payload, refers_to, revisit): which pages repeat an earlier payload.
 
     Of pages with equal payloads of 100 bytes and more, the one with the smallest
@@ -157,10 +157,12 @@ def typed_pages(pages: DataFrame) -> DataFrame:
         rows.filter(F.col("_digest").isNotNull()).groupBy("_digest")
         .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     )
+    repeated = scratch.stage(repeated, "repeated")
     # The ids of revisits are joined to the pages, which is a small table unless most pages are revisits.
     revisits = rows.select("_digest", TAG).join(repeated, "_digest").filter(F.col(TAG) != F.col("_first.t")).select(
         TAG, F.col("_first.id").alias("refers_to"), F.lit(True).alias("revisit")
     )
+    revisits = scratch.stage(revisits, "revisits")
     return rows.join(revisits, TAG, "left").select(
         "page_id", "url", "_payload", "refers_to", F.coalesce("revisit", F.lit(False)).alias("revisit")
     )
@@ -183,12 +185,12 @@ def _page_record(page_id: int | None, url: str | None, payload: bytes, refers_to
     return format_record("revisit", headers, b"")
 
 
-def write_monolithic(pages: DataFrame, folder: str) -> DataFrame:
+def write_monolithic(pages: DataFrame, folder: str, scratch: Scratch) -> DataFrame:
     """Write the pages as archives of one gzip stream each, one archive for each partition.
 
     Returns (archive, records), which has to be evaluated for the writing to happen.
     """
-    rows = typed_pages(pages)
+    rows = typed_pages(pages, scratch)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = open_folder(folder)
@@ -328,7 +330,7 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
 def round_trip(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """Write, normalise and read again: the records of the pages' archives (see read_archives)."""
     spark, first, second = scratch.spark, scratch.path("monolithic"), scratch.path("members")
-    if not scratch.stage(write_monolithic(pages, first), "written").agg(F.sum("records")).first()[0]:
+    if not scratch.stage(write_monolithic(pages, first, scratch), "written").agg(F.sum("records")).first()[0]:
         return spark.createDataFrame([], RECORD_SCHEMA)
     scratch.stage(normalise(spark, first, second), "normalised")
     return read_archives(spark, second)
