@@ -10,14 +10,22 @@ m follows from the number of codes, so that a key holds about one: few segments
 for many codes. Equal codes are one entry with its k smallest ids, equal query codes
 are one query. A code that several segments or rounds would fetch is taken only
 at the smallest of its segment distances, and there in the first segment.
+
+A segment's table is dealt out by the leading bits of the key, and within them in
+chunks of bounded size, whatever the codes. A query goes only to the parts that
+its ball of the round reaches, and there changes the other bits by what the
+leading bits leave of the radius. So the lookups of a part are made within
+tasks, over arrays, and what leaves a task is k codes for each query at most.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 from itertools import combinations
 from math import comb, log2
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +37,10 @@ NEIGHBOURS = 10
 QUERY_EVERY = 50
 #: A round of more changes than this is not made with segments over 16 bits wide (which never need as many).
 MOST_MASKS = 20_000
+CHUNK_ENTRIES = 16_384
+BLOCK_QUERIES = 4_096
+_PAIRS = 2_000_000
+FOUND = "query long, code long, least_id long, distance int"
 
 
 def sign_code(vector: str = "embedding", bits: int = BITS) -> Column:
@@ -70,13 +82,71 @@ def _segment(code: Column, segment: tuple[int, int]) -> Column:
     return F.shiftrightunsigned(code, first).bitwiseAND(F.lit((1 << wide) - 1))
 
 
-def _masks(spark: SparkSession, segments: list[tuple[int, int]], radius: int) -> DataFrame:
-    """(segment, masks): all changes of a key in `radius` bits, at most MOST_MASKS for a segment."""
-    rows = [
-        (k, [sum(1 << i for i in flipped) for flipped in combinations(range(wide), radius)])
-        for k, (_, wide) in enumerate(segments)
-    ]
-    return spark.createDataFrame(rows, "segment int, masks array<long>")
+# lookups within a task ---------------------------------------------------------
+
+
+@lru_cache(maxsize=64)
+def masks_of(wide: int, radius: int) -> np.ndarray:
+    """All numbers of `wide` bits of which `radius` are set."""
+    return np.array([sum(1 << i for i in flipped) for flipped in combinations(range(wide), radius)], np.uint64)
+
+
+def _bits_of(codes: np.ndarray, segment: tuple[int, int]) -> np.ndarray:
+    return (codes >> np.uint64(segment[0])) & np.uint64((1 << segment[1]) - 1)
+
+
+def look_up(
+    queries: np.ndarray, codes: np.ndarray, least_ids: np.ndarray, segments: list[tuple[int, int]], at: int, part: int,
+    low: int, radius: int, k: int,
+) -> pd.DataFrame:
+    """The k nearest of a part's codes at distance `radius` from each query in segment `at`, met there first.
+
+    The part's keys have `part` as their bits from `low` on.
+    """
+    keys = _bits_of(codes, segments[at])
+    order = np.argsort(keys, kind="stable")
+    keys, codes, least_ids = keys[order], codes[order], least_ids[order]
+    asked = _bits_of(queries, segments[at])
+    spent = np.bitwise_count((asked >> np.uint64(low)) ^ np.uint64(part)).astype(np.int64)
+    found = []
+    for used in np.unique(spent[(spent <= radius) & (radius - spent <= low)]):
+        masks = masks_of(low, int(radius - used))
+        some = np.nonzero(spent == used)[0]
+        # As many queries at a time as their lookups, and in a crowded part the codes they may meet, allow.
+        step = max(1, _PAIRS // max(len(masks), len(codes), 1))
+        for begin in range(0, len(some), step):
+            rows = some[begin : begin + step]
+            own = np.uint64(part << low) | (asked[rows] & np.uint64((1 << low) - 1))
+            wanted = (own[:, None] ^ masks[None, :]).ravel()
+            first = np.searchsorted(keys, wanted, "left")
+            many = np.searchsorted(keys, wanted, "right") - first
+            hit = np.nonzero(many)[0]
+            first, many = first[hit], many[hit]
+            of = np.repeat(rows[hit // len(masks)], many)
+            entry = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+            apart = queries[of] ^ codes[entry]
+            once = np.ones(len(of), bool)
+            for other, segment in enumerate(segments):
+                if other != at:
+                    near = np.bitwise_count(_bits_of(apart, segment))
+                    once &= near > radius if other < at else near >= radius
+            of, entry, distance = of[once], entry[once], np.bitwise_count(apart[once]).astype(np.int32)
+            ranked = np.lexsort((least_ids[entry], distance, of))
+            of, entry, distance = of[ranked], entry[ranked], distance[ranked]
+            opens = np.ones(len(of), bool)
+            opens[1:] = of[1:] != of[:-1]
+            place = np.arange(len(of)) - np.maximum.accumulate(np.where(opens, np.arange(len(of)), 0))
+            best = place < k
+            found.append((queries[of[best]], codes[entry[best]], least_ids[entry[best]], distance[best]))
+    if not found:
+        found = [(np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32))]
+    query, code, least, distance = (np.concatenate(x) for x in zip(*found, strict=True))
+    return pd.DataFrame(
+        {"query": query.view(np.int64), "code": code.view(np.int64), "least_id": least, "distance": distance}
+    )
+
+
+# rounds ------------------------------------------------------------------------
 
 
 def _best(df: DataFrame, k: int) -> DataFrame:
@@ -85,6 +155,48 @@ def _best(df: DataFrame, k: int) -> DataFrame:
     return df.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= k).drop("_place")
 
 
+_PART = ["segment", "part", "low"]
+
+
+def _buckets(
+    entries: DataFrame, segments: list[tuple[int, int]], lows: list[int], scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """(segment, part, low, chunk, code, least_id), and how many chunks each part has."""
+    parts = F.array(*[
+        F.struct(F.lit(at).alias("segment"), F.shiftrightunsigned(_segment(F.col("code"), s), low).alias("part"), F.lit(low).alias("low"))
+        for at, (s, low) in enumerate(zip(segments, lows, strict=True))
+    ])
+    keyed = entries.select("code", "least_id", F.explode(parts).alias("p")).select("p.*", "code", "least_id")
+    chunks = F.ceil(F.count(F.lit(1)) / CHUNK_ENTRIES).cast("int")
+    sizes = scratch.stage(keyed.groupBy(*_PART).agg(chunks.alias("chunks")), "parts")
+    chunk = F.pmod(F.xxhash64("code"), F.col("chunks")).cast("int")
+    return scratch.stage(keyed.join(sizes, _PART).withColumn("chunk", chunk).drop("chunks"), "buckets"), sizes
+
+
+def _reached(open_queries: DataFrame, segments: list[tuple[int, int]], lows: list[int], radius: int) -> DataFrame:
+    """(query, segment, part, low): the parts in the ball of each query, by changes of the leading bits."""
+    balls = []
+    for at, (s, low) in enumerate(zip(segments, lows, strict=True)):
+        leading = s[1] - low
+        masks = [int(x) for r in range(max(0, radius - low), min(radius, leading) + 1) for x in masks_of(leading, r)]
+        own = F.shiftrightunsigned(_segment(F.col("query"), s), low)
+        parts = F.array(*[own.bitwiseXOR(F.lit(x).cast("long")) for x in masks])
+        balls.append(F.struct(F.lit(at).alias("segment"), parts.alias("parts"), F.lit(low).alias("low")))
+    return open_queries.select("query", F.explode(F.array(*balls)).alias("b")).select(
+        "query", "b.segment", F.explode("b.parts").alias("part"), "b.low"
+    )
+
+
+def _in_group(segments: list[tuple[int, int]], radius: int, k: int):
+    def of_group(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        either = q if len(q) else x
+        at, part, low = (int(either[c].iloc[0]) for c in _PART)
+        codes = (c.to_numpy(np.int64).view(np.uint64) for c in (q["query"], x["code"]))
+        return look_up(*codes, x["least_id"].to_numpy(np.int64), segments, at, part, low, radius, k)
+
+    return of_group
+
+
 def _search(
     open_queries: DataFrame, entries: DataFrame, total: int, m: int, k: int, most_masks: int, settled: list[DataFrame],
     scratch: Scratch,
@@ -92,35 +204,35 @@ def _search(
     """Round after round with m segments; answers go to `settled`, and queries without one are returned."""
     segments = segments_of(m)
     widest = max(wide for _, wide in segments)
-
-    def keyed(df: DataFrame, code: str, *others: str) -> DataFrame:
-        keys = F.array(*[_segment(F.col(code), s) for s in segments])
-        return df.select(code, *others, F.posexplode(keys).alias("segment", "key"))
-
-    buckets = scratch.stage(keyed(entries, "code", "least_id"), "buckets")
+    leading = max(0, round(log2(total / CHUNK_ENTRIES)))
+    lows = [max(wide - leading, min(wide, 8)) for _, wide in segments]
+    buckets, sizes = _buckets(entries, segments, lows, scratch)
+    group = [*_PART, "chunk", "block"]
     found = None
     for radius in range(widest + 1):
         if open_queries.isEmpty() or (widest > 16 and comb(widest, radius) > most_masks):
             break
-        masks = F.broadcast(_masks(scratch.spark, segments, radius))
-        lookups = keyed(open_queries, "query").join(masks, "segment").select(
-            "query", "segment", F.explode(F.transform("masks", lambda x: F.col("key").bitwiseXOR(x))).alias("key")
+
+        reached = _reached(open_queries, segments, lows, radius).join(sizes, _PART)
+        reached = scratch.stage(reached, "reached")
+        blocks = F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int")
+        dealt = scratch.stage(reached.groupBy(*_PART).agg(blocks.alias("blocks")), "blocks")
+        left = reached.join(dealt, _PART).select(
+            "query", *_PART, F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int").alias("block"),
+            F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
         )
-        met = lookups.join(buckets.hint("shuffle_hash"), ["segment", "key"])
-        apart = F.col("query").bitwiseXOR(F.col("code"))
-        once = F.lit(True)
-        for at, segment in enumerate(segments):
-            nearer = F.bit_count(_segment(apart, segment))
-            once = once & F.when(F.col("segment") > at, nearer > radius).otherwise(nearer >= radius)
-        new = met.filter(once).select("query", "code", "least_id", F.bit_count(apart).alias("distance"))
-        found = scratch.stage(_best(new if found is None else new.union(found), k), "found")
+        right = buckets.join(dealt, _PART).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        new = left.groupBy(*group).cogroup(right.drop("blocks").groupBy(*group)).applyInPandas(_in_group(segments, radius, k), FOUND)
+        found = _best(new if found is None else new.union(found), k)
+        whole = Window.partitionBy("query")
+        found = found.withColumn("_n", F.count(F.lit(1)).over(whole)).withColumn("_farthest", F.max("distance").over(whole))
         covered = m * (radius + 1) - 1
-        reached = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("farthest"))
-        done = reached.filter(((F.col("n") >= k) & (F.col("farthest") <= covered)) | (F.col("n") >= total))
-        done = scratch.stage(done.select("query"), "done")
-        settled.append(found.join(done, "query", "left_semi"))
-        found = scratch.stage(found.join(done, "query", "left_anti"), "left")
-        open_queries = scratch.stage(open_queries.join(done, "query", "left_anti"), "open")
+        done = ((F.col("_n") >= k) & (F.col("_farthest") <= covered)) | (F.col("_n") >= total)
+        state = scratch.stage(found.withColumn("done", done).drop("_n", "_farthest"), "found")
+        settled.append(state.filter("done").drop("done"))
+        found = state.filter("not done").drop("done")
+        answered = state.filter("done").select("query").distinct()
+        open_queries = scratch.stage(open_queries.join(answered, "query", "left_anti"), "open")
     return open_queries
 
 

@@ -83,9 +83,11 @@ def signed(x):
     return x - 2**64 if x >= 2**63 else x
 
 
-@pytest.mark.parametrize("most_masks", [20_000, 40])
-def test_codes_agree_with_comparing_all(spark, scratch, monkeypatch, most_masks):
-    rng = random.Random(most_masks)
+@pytest.mark.parametrize(("most_masks", "chunk"), [(20_000, 16_384), (40, 16_384), (20_000, 40), (40, 7)])
+def test_codes_agree_with_comparing_all(spark, scratch, monkeypatch, most_masks, chunk):
+    rng = random.Random(most_masks + chunk)
+    monkeypatch.setattr("matchledger.llm.topk.CHUNK_ENTRIES", chunk)
+    monkeypatch.setattr("matchledger.llm.topk.BLOCK_QUERIES", chunk)
     if most_masks < 100:  # two wide segments first, then four
         monkeypatch.setattr("matchledger.llm.topk.segment_counts", lambda codes: [2, 4])
     centres = [rng.getrandbits(64) for _ in range(5)]
