@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,6 +41,18 @@ ROAS_CHECKS = (NotNull("media_source"), NotNull("install_country"))
 PAID_ROAS_CHECK = NotNull("roas", where="media_source != 'Organic'", name="custom_not_null_roas")
 
 
+#: The checks of every table, sources and facts.
+ALL_CHECKS: dict[str, tuple[NotNull | Unique, ...]] = {
+    "events": EVENT_CHECKS,
+    "installs_attribution": INSTALL_CHECKS,
+    "marketing_spend": SPEND_CHECKS,
+    "fct_games": GAME_CHECKS,
+    "fct_rooms": ROOM_CHECKS,
+    "daily_player": DAILY_CHECKS,
+    "marketing_roas": (*ROAS_CHECKS, PAID_ROAS_CHECK),
+}
+
+
 def failing_rows(df: DataFrame, check: NotNull | Unique) -> DataFrame:
     """The rows a check selects: NULL rows, or repeated values with their count."""
     if isinstance(check, Unique):
@@ -80,6 +93,12 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[NotNull | Unique]) ->
     return out
 
 
+def check_tables(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """All checks of the named tables, each read as it is stored: (check name of a table -> stored table)."""
+    parts = [run_checks(spark.table(stored), name, ALL_CHECKS[name]) for name, stored in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _result(table: str, check: NotNull | Unique, failures: Column) -> Column:
     return F.struct(
         F.lit(table).alias("table_name"),

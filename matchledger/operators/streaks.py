@@ -19,89 +19,99 @@ from matchledger.schemas import DAY_KEYS
 SLICE_SECONDS = 60
 
 
-def _micros(df: DataFrame, column: str) -> Column:
+def micros(df: DataFrame, column: str) -> Column:
+    """Microseconds since 1970, for times with and without zone."""
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01'"), F.col(column))
     return F.unix_micros(column)
 
 
+# Rows without a time come first in their day, in a slice of their own.
+_NO_TIME = -(2**62)
+
+
 def _sliced(flags: DataFrame, slice_seconds: int) -> DataFrame:
     """Add `_key`, a total order of rows that differ, and the `_slice` it lies in.
 
     The flags are part of the key, so rows equal in it are interchangeable.
     """
-    key = _micros(flags, "timestamp_utc") * 4 + F.col("is_win") * 2 + F.col("is_loss")
+    at = F.coalesce(micros(flags, "timestamp_utc") * 4, F.lit(_NO_TIME))
+    key = at + F.coalesce("is_win", F.lit(0)) * 2 + F.coalesce("is_loss", F.lit(0))
     per_slice = 4_000_000 * slice_seconds
     return flags.withColumn("_key", key).withColumn("_slice", F.expr(f"_key div {per_slice}"))
 
 
-def ordered_flags(flags: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """Number each row of a player-day in time order and give it the flags before it."""
+def _ordered(flags: DataFrame, slice_seconds: int) -> DataFrame:
+    """The rows with their number, the flags before them, and the day's changes of either flag."""
+    inside = W.partitionBy(*DAY_KEYS, "_slice").orderBy("_key")
     rows = _sliced(flags, slice_seconds)
-    slices = rows.groupBy(*DAY_KEYS, "_slice").agg(
+    columns = rows.columns
+    changed = {f: as_flag(F.col(f) != F.lag(f).over(inside)) for f in ("is_win", "is_loss")}
+    slices = rows.select(*columns, changed["is_win"].alias("_win_change"), changed["is_loss"].alias("_loss_change")).groupBy(
+        *DAY_KEYS, "_slice"
+    ).agg(
         F.count("*").alias("_rows"),
-        F.max_by("is_win", "_key").alias("_win"),
-        F.max_by("is_loss", "_key").alias("_loss"),
+        F.min_by("is_win", "_key").alias("_win_first"), F.max_by("is_win", "_key").alias("_win"),
+        F.min_by("is_loss", "_key").alias("_loss_first"), F.max_by("is_loss", "_key").alias("_loss"),
+        F.sum("_win_change").alias("_win_changes"), F.sum("_loss_change").alias("_loss_changes"),
     )
     earlier = W.partitionBy(*DAY_KEYS).orderBy("_slice")
+    linked = slices.select(
+        *DAY_KEYS, "_slice", "_rows", "_win_first", "_loss_first", "_win_changes", "_loss_changes",
+        F.lag("_win", 1, 0).over(earlier).alias("is_win"),
+        F.lag("_loss", 1, 0).over(earlier).alias("is_loss"),
+    )
+    day = W.partitionBy(*DAY_KEYS)
     # One row per slice that sorts ahead of its rows and stands for all before it.
-    heads = slices.select(
+    heads = linked.select(
         *DAY_KEYS,
         "_slice",
-        F.lag("_win", 1, 0).over(earlier).alias("is_win"),
-        F.lag("_loss", 1, 0).over(earlier).alias("is_loss"),
+        "is_win",
+        "is_loss",
+        F.lit(True).alias("_head"),
         F.coalesce(
             F.sum("_rows").over(earlier.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
         ).alias("_before"),
+        F.sum(F.col("_win_changes") + as_flag(F.col("_win_first") != F.col("is_win"))).over(day).alias("_win_total"),
+        F.sum(F.col("_loss_changes") + as_flag(F.col("_loss_first") != F.col("is_loss"))).over(day).alias("_loss_total"),
     )
     both = rows.unionByName(heads, allowMissingColumns=True)
-    inside = W.partitionBy(*DAY_KEYS, "_slice").orderBy(F.asc_nulls_first("_key"))
-    before = F.last("_before", ignorenulls=True).over(
-        inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
+    heads_first = W.partitionBy(*DAY_KEYS, "_slice").orderBy(F.asc_nulls_last("_head"), "_key")
+    so_far = heads_first.rowsBetween(W.unboundedPreceding, W.currentRow)
+
+    def of_head(column: str) -> Column:
+        return F.last(column, ignorenulls=True).over(so_far)
+
     return (
         both.select(
-            *rows.columns,
-            (before + F.row_number().over(inside) - 1).alias("event_order"),
-            F.lag("is_win").over(inside).alias("previous_is_win"),
-            F.lag("is_loss").over(inside).alias("previous_is_loss"),
+            *columns,
+            "_head",
+            (of_head("_before") + F.row_number().over(heads_first) - 1).alias("event_order"),
+            F.lag("is_win").over(heads_first).alias("previous_is_win"),
+            F.lag("is_loss").over(heads_first).alias("previous_is_loss"),
+            of_head("_win_total").alias("win_streak_group"),
+            of_head("_loss_total").alias("loss_streak_group"),
         )
-        .filter(F.col("_key").isNotNull())
-        .drop("_key")
+        .filter(F.col("_head").isNull())
+        .drop("_key", "_head")
     )
 
 
+def ordered_flags(flags: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Number each row of a player-day in time order and give it the flags before it.
+
+    Rows without a time come first.
+    """
+    return _ordered(flags, slice_seconds).drop("win_streak_group", "loss_streak_group")
+
+
 def streak_groups(flags: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Number of flag changes of the day, on each of its rows.
 
     The running sum has the day itself as its order, so all rows of a day are
     peers and each has the day's total.
     """
-    rows = ordered_flags(flags, slice_seconds).select(
-        "*",
-        as_flag(F.col("is_win") != F.col("previous_is_win")).alias("_win_change"),
-        as_flag(F.col("is_loss") != F.col("previous_is_loss")).alias("_loss_change"),
-    )
-    day = W.partitionBy(*DAY_KEYS)
-    totals = rows.groupBy(*DAY_KEYS, "_slice").agg(
-        F.sum("_win_change").alias("_win"), F.sum("_loss_change").alias("_loss")
-    ).select(
-        *DAY_KEYS, "_slice",
-        F.sum("_win").over(day).alias("win_streak_group"),
-        F.sum("_loss").over(day).alias("loss_streak_group"),
-    )
-    both = rows.unionByName(totals, allowMissingColumns=True)
-    inside = (
-        W.partitionBy(*DAY_KEYS, "_slice")
-        .orderBy(F.asc_nulls_first("event_order"))
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    return (
-        both.withColumn("win_streak_group", F.last("win_streak_group", ignorenulls=True).over(inside))
-        .withColumn("loss_streak_group", F.last("loss_streak_group", ignorenulls=True).over(inside))
-        .filter(F.col("event_order").isNotNull())
-        .drop("_win_change", "_loss_change")
-    )
+    return _ordered(flags, slice_seconds)
 
 
 def true_streaks(flags: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from matchledger.operators.joins import SPREAD, any_null, spread
 from matchledger.schemas import Fact
 from matchledger.session import Workspace
-from matchledger.sources.tables import with_partition
+from matchledger.sources.tables import qualified, with_partition
 
 
 class DuplicateKeys(ValueError):
@@ -61,7 +61,10 @@ def upsert_frame(
 
 
 def _unique_or_error(source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    """Mark every row with `_here`; evaluating it fails on a repeated key."""
+    """Mark every row with `_here`; evaluating it fails on a repeated key.
+
+    The column that spreads incomplete keys stays, so the merge needs no further shuffle.
+    """
     rows = source if null_safe else spread(source, keys)
     together = W.partitionBy(*keys, *([] if null_safe else [SPREAD]))
     repeated = F.count("*").over(together) > 1
@@ -70,7 +73,7 @@ def _unique_or_error(source: DataFrame, keys: Sequence[str], null_safe: bool) ->
     message = F.lit(f"several source rows for one key ({', '.join(keys)})")
     # raise_error has no type of its own; the flag is NULL-free either way.
     here = F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return rows.withColumn("_here", here).drop(SPREAD)
+    return rows.withColumn("_here", here)
 
 
 def _days(df: DataFrame, column: str) -> set[dt.date | None]:
@@ -109,8 +112,13 @@ def upsert_table(
        overwrite. A run that fails before leaves the table alone; one that
        fails while writing keeps the staged content, to be written again.
     4. Touched partitions that end up with no rows are dropped.
+
+    A table has one writer at a time: two merges into one table at once can lose
+    rows and are for the scheduler to rule out. Readers may see a row that moved
+    to another day twice until step 4 is done.
     """
     _check_mode(on_duplicate)
+    table = qualified(spark, table)
     part, keys = fact.partition_column, list(fact.keys)
     staged_name, staged = workspace.stage(with_partition(source, fact), f"{fact.name}_source")
     names = [staged_name]
@@ -160,9 +168,15 @@ def overwrite_partitions(spark: SparkSession, staged: str, table: str, part: str
     """Replace the partitions that occur in `staged` and no others.
 
     The mode is a setting, and without it the whole table would be replaced, so
-    the write has a session of its own that no other thread can change.
+    the write has a session of its own that no other thread can change. That
+    session knows neither the caller's current database, hence full names, nor the
+    caller's settings, which are copied.
     """
+    staged, table = qualified(spark, staged), qualified(spark, table)
     session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            session.conf.set(key, value)
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     session.table(staged).hint("rebalance", part).write.insertInto(table, overwrite=True)
 
@@ -187,7 +201,7 @@ def _merge(
 ) -> DataFrame:
     """The merge in one join; a source that is not "keep_all" is unique by key."""
     columns = target.columns
-    source = source.select(*columns, *[c for c in source.columns if c == "_here"])
+    source = source.select(*columns, *[c for c in source.columns if c in ("_here", SPREAD)])
     if on_duplicate == "keep_all":
         old, new, on = _sides(target, source.select(*keys).distinct(), keys, null_safe)
         return old.join(new, on, "left_anti").select(*columns).unionByName(source)
@@ -209,5 +223,5 @@ def _sides(
     """Both sides as `t` and `s` with their join condition, NULL keys spread out."""
     if null_safe:
         return left.alias("t"), right.alias("s"), _keys_equal(keys, "t", "s", True)
-    left, right = spread(left, keys), spread(right, keys)
+    left, right = (df if SPREAD in df.columns else spread(df, keys) for df in (left, right))
     return left.alias("t"), right.alias("s"), _keys_equal([*keys, SPREAD], "t", "s", False)

@@ -6,19 +6,31 @@ import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from matchledger.sources.tables import utc_day
+
+
+def typed_literal(df: DataFrame, value: Column, data_type: T.DataType) -> Column:
+    """An aggregate of `df` as a typed literal, by way of text or, for zoned times, of microseconds.
+
+    No Python datetime and no local zone is involved, in which an hour in
+    autumn would be two.
+    """
+    if isinstance(data_type, T.TimestampType):
+        micros = df.agg(F.unix_micros(value)).first()[0]
+        return F.timestamp_micros(F.lit(micros).cast("bigint"))
+    return F.lit(df.agg(value.cast("string")).first()[0]).cast(data_type)
 
 
 def high_water_mark(target: DataFrame, field: str) -> Column:
     """The largest `field` in `target` as a typed literal; NULL for an empty target.
 
-    The value travels as text, so no Python datetime and no local zone is
-    involved, and as a literal it can prune partitions and row groups.
+    As a literal it can prune partitions and row groups.
     """
-    data_type = target.schema[field].dataType
-    value = target.agg(F.max(field).cast("string")).first()[0]
-    if value is None:
+    if target.filter(F.col(field).isNotNull()).isEmpty():
         warnings.warn(f"no high-water mark: {field} has no value in the target", stacklevel=2)
-    return F.lit(value).cast(data_type)
+    return typed_literal(target, F.max(field), target.schema[field].dataType)
 
 
 def incremental_filter(
@@ -27,11 +39,11 @@ def incremental_filter(
     """Rows strictly after the mark. No mark means a first build: all rows.
 
     A mark that is NULL (the target exists but is empty) selects nothing.
-    `day_column`, when given, must hold the day of `field`; the mark's day is
-    then compared with it as well, which prunes a log partitioned by day.
+    `day_column`, when given, must hold the day of `field` in UTC; the mark's day
+    is then compared with it as well, which prunes a log partitioned by day.
     """
     if mark is None:
         return df
     if day_column is not None and day_column != field:
-        df = df.filter(F.col(day_column) >= F.to_date(mark))
+        df = df.filter(F.col(day_column) >= utc_day(mark, df.schema[field].dataType))
     return df.filter(F.col(field) > mark)

@@ -30,8 +30,8 @@ def running_frame(keys: Sequence[str], *order: str):
     return W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
-def forward_fill(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
+def forward_fill(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Replace each NULL in `columns` by the last value before it."""
-    frame = running_frame(keys, order)
+    frame = running_frame(keys, *([order] if isinstance(order, str) else order))
     filled = {c: F.last(c, ignorenulls=True).over(frame) for c in columns}
     return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])

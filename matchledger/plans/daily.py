@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from matchledger.functions import as_flag, or_zero, round3
 from matchledger.operators.spine import date_spine, days_through, last_date
+from matchledger.operators.streaks import micros
 from matchledger.operators.watermark import incremental_filter
 from matchledger.operators.windows import extreme_rows, first_row, forward_fill, running_frame
 from matchledger.schemas import (
@@ -37,6 +38,8 @@ from matchledger.sources.views import (
 ZERO_FILLED = ["matches_won_reward", "matches_claimed", "revenue", "coins_source_purchases"]
 CARRIED = [c for c in DAILY.columns if c not in (*DAY_KEYS, *ZERO_FILLED)]
 BALANCES = ["balance_day_start", "balance_day_end"]
+# The rows of a player, those of one day in an order that the input's order can't change.
+DAY_ORDER = ["date_utc", *BALANCES]
 
 
 # Single metrics -----------------------------------------------------------
@@ -176,7 +179,9 @@ def day_metrics(events: DataFrame, ties: str = "keep", opening_since: Column | N
 
     `ties="keep"` takes the balances from rank windows, so a player-day with
     two first joins at one instant has two rows. `ties="first"` takes one of
-    them inside the aggregation and reads the log once.
+    them inside the aggregation and reads the log once: the one whose room,
+    tournament and balance hash lower (for the closing balance, higher), so the
+    order of the input does not matter.
     """
     if ties not in ("keep", "first"):
         raise ValueError("ties must be 'keep' or 'first'")
@@ -195,7 +200,7 @@ def day_metrics(events: DataFrame, ties: str = "keep", opening_since: Column | N
         opens = name == JOINED
         if opening_since is not None:
             opens = opens & (F.col("date_utc") > opening_since)
-        at = F.col("timestamp_utc")
+        at = _time_and_content(events)
         one_pass = [
             F.min_by("balance_before", F.when(opens, at)).alias("balance_day_start"),
             F.max_by("balance_before", F.when(name == FINISHED, at)).alias("balance_day_end"),
@@ -223,6 +228,15 @@ def day_metrics(events: DataFrame, ties: str = "keep", opening_since: Column | N
     return _without_anonymous(metrics).select(*DAILY.columns)
 
 
+def _time_and_content(events: DataFrame) -> Column:
+    """A decimal that orders events by time, then by a hash of where and with what balance; NULL without a time.
+
+    Unlike a struct it has a fixed width, so the aggregation by it needs no sort.
+    """
+    content = F.xxhash64("room_id", "tournament_id", "balance_before").cast("decimal(19,0)")
+    return micros(events, "timestamp_utc").cast("decimal(18,0)") * F.lit(str(2**64)).cast("decimal(20,0)") + content
+
+
 def _without_anonymous(metrics: DataFrame) -> DataFrame:
     known = F.col("player_id").isNotNull()
     masked = {
@@ -237,11 +251,12 @@ def fill_days(days: DataFrame, last_day: Column, carried: list[str] = CARRIED) -
 
     Columns in `carried` take their last value before the gap rows are made;
     then each active day is repeated up to the day before the next one. On the
-    days added, every other metric is zero. Of several rows of one day only
-    the last one is repeated.
+    days added, every other metric is zero. Of several rows of one day, which
+    differ in their balances, the one with the largest is the last and only
+    that one is repeated.
     """
-    following = F.lead("date_utc").over(W.partitionBy("player_id").orderBy("date_utc"))
-    frame = running_frame(["player_id"], "date_utc")
+    following = F.lead("date_utc").over(W.partitionBy("player_id").orderBy(*DAY_ORDER))
+    frame = running_frame(["player_id"], *DAY_ORDER)
     until = F.greatest(F.col("date_utc"), F.coalesce(F.date_sub("_next", 1), F.col("_last_day")))
     zeroed = [c for c in DAILY.columns if c not in (*DAY_KEYS, *carried)]
     active = F.col("_day") == F.col("date_utc")
@@ -292,7 +307,7 @@ def daily_metrics_joined(events: DataFrame) -> DataFrame:
 def forward_filled(events: DataFrame) -> DataFrame:
     """The fact by way of the full calendar and a fill over every row of it."""
     measures = [c for c in DAILY.columns if c not in DAY_KEYS]
-    return forward_fill(daily_metrics_joined(events), ["player_id"], "date_utc", measures)
+    return forward_fill(daily_metrics_joined(events), ["player_id"], DAY_ORDER, measures)
 
 
 def daily_player_from(events: DataFrame, stored: DataFrame, first_day: Column) -> DataFrame:

@@ -81,16 +81,35 @@ def fct_games(events: DataFrame, since: Column | None = None) -> DataFrame:
     )
 
 
-def fct_games_split(events: DataFrame, workspace: Workspace, limit: int = 1_000_000) -> DataFrame:
-    """`fct_games` for a log in which single matches repeat a later event very often.
+#: A match with more later events of one type than this is cut into lanes.
+LANE_ROWS = 1_000_000
+
+
+def split_lifecycle(
+    joined: DataFrame, later: list[DataFrame], workspace: Workspace, staged: list[str], limit: int = LANE_ROWS
+) -> DataFrame:
+    """`lifecycle` for inputs in which single matches may repeat a later event very often.
 
     Counts the later events per match first, and stages the few matches with
-    more than `limit` of one type. Very many *joins* of a match need no such
-    care: the adaptive join splits them.
+    more than `limit` of one type, under a name added to `staged`; the caller
+    releases it when the result has been written. Without any, the joins are
+    the plain ones. Very many *joins* of a match need no such care: the
+    adaptive join splits them.
     """
+    name, repeated = workspace.stage(repeated_keys(later, MATCH_KEYS, limit), "repeated")
+    if repeated.isEmpty():
+        workspace.release(name)
+        return left_joins(joined, later, MATCH_KEYS)
+    staged.append(name)
+    return laned_left_joins(joined, later, MATCH_KEYS, repeated)
+
+
+def fct_games_split(
+    events: DataFrame, workspace: Workspace, limit: int = LANE_ROWS, staged: list[str] | None = None
+) -> DataFrame:
+    """`fct_games` with a look at the counts first; see `split_lifecycle`, also for `staged`."""
     later = [submissions(events), closings(events), claims(events)]
-    _, repeated = workspace.stage(repeated_keys(later, MATCH_KEYS, limit), "repeated")
-    return as_games(laned_left_joins(joins(events), later, MATCH_KEYS, repeated))
+    return as_games(split_lifecycle(joins(events), later, workspace, [] if staged is None else staged, limit))
 
 
 def _earliest(df: DataFrame, time: str, *tie_breakers: str) -> DataFrame:
@@ -106,17 +125,28 @@ def fct_games_dedup(events: DataFrame) -> DataFrame:
     joined = joins(events)
     whole = joined.filter(~any_null(MATCH_KEYS))
     partial = joined.filter(any_null(MATCH_KEYS))
-    return as_games(
-        lifecycle(
-            _earliest(whole, "joined_time", "balance_before", "entry_fee", "players_capacity").unionByName(partial),
-            _earliest(submissions(events), "submit_time", "play_duration", "submitted_score", "actual_players_in_room"),
-            _earliest(closings(events), "room_close_time", "position", "reward", "balance_after_claim", "closing_score"),
-            claims(events).groupBy(*MATCH_KEYS).agg(F.min("claim_time").alias("claim_time")),
+    # Whole keys only, so the joins go by them as the windows do, and nothing is shuffled again.
+    submitted, closed, claimed = (
+        side(events).dropna(subset=MATCH_KEYS) for side in (submissions, closings, claims)
+    )
+    matches = (
+        _earliest(whole, "joined_time", "balance_before", "entry_fee", "players_capacity")
+        .join(
+            _earliest(submitted, "submit_time", "play_duration", "submitted_score", "actual_players_in_room"),
+            MATCH_KEYS, "left",
+        )
+        .join(
+            _earliest(closed, "room_close_time", "position", "reward", "balance_after_claim", "closing_score"),
+            MATCH_KEYS, "left",
         )
+        .join(claimed.groupBy(*MATCH_KEYS).agg(F.min("claim_time").alias("claim_time")), MATCH_KEYS, "left")
     )
+    return as_games(matches.unionByName(partial, allowMissingColumns=True))
 
 
-def games_of(events: DataFrame, touched: DataFrame) -> DataFrame:
+def games_of(
+    events: DataFrame, touched: DataFrame, workspace: Workspace, staged: list[str], limit: int = LANE_ROWS
+) -> DataFrame:
     """The fact for the match keys in `touched` only, incomplete keys included.
 
     Every input is cut to those matches by a semi join first. `touched` should
@@ -126,4 +156,4 @@ def games_of(events: DataFrame, touched: DataFrame) -> DataFrame:
     sides = [
         side(events).join(touched, MATCH_KEYS, "left_semi") for side in (submissions, closings, claims)
     ]
-    return as_games(lifecycle(rows_of(joins(events), touched, MATCH_KEYS), *sides))
+    return as_games(split_lifecycle(rows_of(joins(events), touched, MATCH_KEYS), sides, workspace, staged, limit))

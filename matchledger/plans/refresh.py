@@ -2,8 +2,11 @@
 
 `late="as_written"` keeps the high-water marks as the models write them.
 `late="reprocess"` rebuilds what new events touch, so that the table equals a
-full rebuild. For the daily fact that is every day from the last stored one on,
-or from an earlier `redo_from` when events for past days have come in.
+full rebuild. What is new is best said by the caller, who knows what was loaded:
+`Inputs.arrived` holds the events that came in since the last refresh, whatever
+their time. Without it, events later than anything stored count as new, and
+with `redo_from` those of that day and later ones; an event that came in late
+for an earlier time is then not seen.
 """
 
 from __future__ import annotations
@@ -16,18 +19,22 @@ from pyspark.sql import functions as F
 
 from matchledger.operators.joins import any_null
 from matchledger.operators.upsert import upsert_table
-from matchledger.operators.watermark import high_water_mark, incremental_filter
+from matchledger.operators.watermark import high_water_mark, incremental_filter, typed_literal
 from matchledger.plans import daily, games, roas, rooms
 from matchledger.schemas import DAILY, GAMES, MATCH_KEYS, PURCHASE, ROAS, ROOM_KEYS, ROOMS
 from matchledger.session import Workspace
-from matchledger.sources.tables import create_fact, read_fact
+from matchledger.sources.tables import create_fact, qualified, read_fact
 
 
 @dataclass(frozen=True)
 class Inputs:
-    """What the facts are built from; `latest` is the last day of `daily` where it is known."""
+    """What the facts are built from; `latest` is the last day of `daily` where it is known.
+
+    `arrived`: the events that came in since the last refresh, also part of `events`.
+    """
 
     events: DataFrame | None = None
+    arrived: DataFrame | None = None
     installs: DataFrame | None = None
     spend: DataFrame | None = None
     daily: DataFrame | None = None
@@ -47,16 +54,22 @@ def refresh(
     on_duplicate: str = "error",
     redo_from: dt.date | None = None,
 ) -> DataFrame:
-    """Build `table` if it is not there, else merge what is new; returns the stored fact."""
+    """Build `table` if it is not there, else merge what is new; returns the stored fact.
+
+    One refresh of a table at a time; see `upsert_table`.
+    """
     if late not in ("as_written", "reprocess"):
         raise ValueError("late must be 'as_written' or 'reprocess'")
+    if late == "as_written" and (redo_from is not None or inputs.arrived is not None):
+        raise ValueError("redo_from and arrived events are for late='reprocess'")
     fact = FACTS[name]
-    if not spark.catalog.tableExists(table):
-        create_fact(_full(name, inputs), table, fact)
-        return read_fact(spark, table, fact)
-    stored = read_fact(spark, table, fact)
     staged: list[str] = []
     try:
+        if not spark.catalog.tableExists(table):
+            create_fact(_full(name, inputs, workspace, staged), table, fact)
+            return read_fact(spark, table, fact)
+        table = qualified(spark, table)
+        stored = read_fact(spark, table, fact)
         if late == "as_written":
             source = _as_written(name, inputs, stored, workspace, staged)
         else:
@@ -68,9 +81,9 @@ def refresh(
     return read_fact(spark, table, fact)
 
 
-def _full(name: str, inputs: Inputs) -> DataFrame:
+def _full(name: str, inputs: Inputs, workspace: Workspace, staged: list[str]) -> DataFrame:
     if name == GAMES.name:
-        return games.fct_games(inputs.events)
+        return games.fct_games_split(inputs.events, workspace, staged=staged)
     if name == ROOMS.name:
         return rooms.fct_rooms(inputs.events)
     if name == DAILY.name:
@@ -85,15 +98,11 @@ def _as_written(
     if name == GAMES.name:
         since = high_water_mark(stored, "joined_time")
         new = _stage(workspace, staged, games.joins(events, since), "new_joins")
-        return games.as_games(
-            games.lifecycle(
-                new,
-                *[
-                    side(events).join(new.select(*MATCH_KEYS), MATCH_KEYS, "left_semi")
-                    for side in (games.submissions, games.closings, games.claims)
-                ],
-            )
-        )
+        sides = [
+            side(events).join(new.select(*MATCH_KEYS), MATCH_KEYS, "left_semi")
+            for side in (games.submissions, games.closings, games.claims)
+        ]
+        return games.as_games(games.split_lifecycle(new, sides, workspace, staged))
     if name == ROOMS.name:
         since = high_water_mark(stored, "room_open_time")
         new = incremental_filter(
@@ -101,11 +110,14 @@ def _as_written(
         ).select(*ROOM_KEYS).distinct()
         touched = _stage(workspace, staged, new.dropna(), "new_rooms")
         of_rooms = events.join(touched, ROOM_KEYS, "left_semi")
-        keyless = rooms.joined_events(events).filter(any_null(ROOM_KEYS))
+        # A join without a room has no opening to compute, so only new ones count.
+        keyless = incremental_filter(
+            rooms.joined_events(events).filter(any_null(ROOM_KEYS)), "timestamp_utc", since, day_column="date_utc"
+        )
         return rooms.fct_rooms(of_rooms.unionByName(keyless), since)
     if name == DAILY.name:
         return daily.daily_player(events, opening_since=high_water_mark(stored, "date_utc"))
-    return _full(name, inputs)
+    return _full(name, inputs, workspace, staged)
 
 
 def _reprocessed(
@@ -118,28 +130,41 @@ def _reprocessed(
 ) -> DataFrame:
     events = inputs.events
     if stored.isEmpty():
-        return _full(name, inputs)
+        return _full(name, inputs, workspace, staged)
     if name == GAMES.name:
-        since = _latest(stored, "joined_time", "submit_time", "room_close_time", "claim_time")
-        touched = _stage(workspace, staged, touched_keys(events, MATCH_KEYS, since), "touched")
-        return games.games_of(events, touched)
+        times = ("joined_time", "submit_time", "room_close_time", "claim_time")
+        touched = _touched(inputs, MATCH_KEYS, stored, times, redo_from)
+        return games.games_of(events, _stage(workspace, staged, touched, "touched"), workspace, staged)
     if name == ROOMS.name:
-        since = _latest(stored, "room_open_time", "room_close_time")
-        touched = _stage(workspace, staged, touched_keys(events, ROOM_KEYS, since), "touched")
-        return rooms.rooms_of(events, touched)
+        touched = _touched(inputs, ROOM_KEYS, stored, ("room_open_time", "room_close_time"), redo_from)
+        return rooms.rooms_of(events, _stage(workspace, staged, touched, "touched"))
     if name == DAILY.name:
-        first_day = high_water_mark(stored, "date_utc")
+        days = [high_water_mark(stored, "date_utc")]
         if redo_from is not None:
-            first_day = F.least(first_day, F.lit(redo_from))
-        return daily.daily_player_from(events, stored, first_day)
-    return _full(name, inputs)
+            days.append(F.lit(redo_from))
+        if inputs.arrived is not None:
+            days.append(typed_literal(inputs.arrived, F.min("date_utc"), inputs.arrived.schema["date_utc"].dataType))
+        return daily.daily_player_from(events, stored, F.least(*days) if len(days) > 1 else days[0])
+    return _full(name, inputs, workspace, staged)
+
+
+def _touched(
+    inputs: Inputs, keys: list[str], stored: DataFrame, times: tuple[str, ...], redo_from: dt.date | None
+) -> DataFrame:
+    """Keys that the arrived events mention, or else later ones than any stored, and those from `redo_from` on."""
+    if inputs.arrived is not None:
+        found = touched_keys(inputs.arrived, keys)
+    else:
+        found = touched_keys(inputs.events, keys, _latest(stored, *times))
+    if redo_from is not None:
+        again = inputs.events.filter(F.col("date_utc") >= F.lit(redo_from))
+        found = found.union(touched_keys(again, keys)).distinct()
+    return found
 
 
 def _latest(stored: DataFrame, *times: str) -> Column:
     """The newest time stored. Anything newer is new; a little that is not may be redone."""
-    data_type = stored.schema[times[0]].dataType
-    newest = F.greatest(*[F.max(t) for t in times]).cast("string")
-    return F.lit(stored.agg(newest).first()[0]).cast(data_type)
+    return typed_literal(stored, F.greatest(*[F.max(t) for t in times]), stored.schema[times[0]].dataType)
 
 
 def touched_keys(events: DataFrame, keys: list[str], since: Column | None = None) -> DataFrame:

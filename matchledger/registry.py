@@ -18,7 +18,7 @@ from matchledger.operators import spine, streaks
 from matchledger.operators.upsert import upsert_frame
 from matchledger.operators.watermark import high_water_mark
 from matchledger.plans import daily, games, roas, rooms
-from matchledger.plans.refresh import FACTS, refresh
+from matchledger.plans.refresh import FACTS, Inputs, refresh
 from matchledger.schemas import DAILY, DAY_KEYS, GAMES, MATCH_KEYS, ROAS, ROOM_KEYS, ROOMS
 from matchledger.session import Workspace, tune
 from matchledger.sources import demo, views
@@ -42,6 +42,8 @@ def over_events(build: Callable[[DataFrame], DataFrame]) -> Query:
 class DemoInputs:
     """The inputs of one query, each built when it is first asked for."""
 
+    arrived = None
+
     def __init__(self, spark: SparkSession, sf_dir: str, first_run: bool = False):
         self._spark, self._sf_dir, self._first_run = spark, sf_dir, first_run
 
@@ -189,13 +191,35 @@ def _merge_roas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_frame(old, new, ROAS.keys)
 
 
-def _new_joins(events: DataFrame) -> DataFrame:
-    stored = games.joins(demo.first_run(events))
-    return games.joins(events, since=high_water_mark(stored, "joined_time"))
+def _stored_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = Workspace(spark).table(GAMES.name)
+    create_fact(games.fct_games(demo.first_run(demo.game_events(tune(spark), sf_dir))), table, GAMES)
+    return read_fact(spark, table, GAMES)
+
+
+def _new_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = high_water_mark(_stored_first_run(spark, sf_dir), "joined_time")
+    return games.joins(demo.game_events(spark, sf_dir), since=mark)
+
 
+def _mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = high_water_mark(_stored_first_run(spark, sf_dir), "joined_time")
+    return spark.range(1).select(mark.alias("max_joined_time"))
 
-def _mark(events: DataFrame) -> DataFrame:
-    return games.fct_games(demo.first_run(events)).agg(F.max("joined_time").alias("max_joined_time"))
+
+def _late(name: str) -> Query:
+    """Build a stored fact without the events that come in late, then refresh it with those."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        workspace = Workspace(spark)
+        table = workspace.table(name)
+        refresh(spark, name, table, Inputs(events=demo.on_time(spark, sf_dir)), workspace)
+        inputs = Inputs(events=demo.game_events(spark, sf_dir), arrived=demo.arrived_late(spark, sf_dir))
+        out = refresh(spark, name, table, inputs, workspace, "reprocess", "keep_all" if name != DAILY.name else "error")
+        return cents(out) if name == DAILY.name else out
+
+    return query
 
 
 def _two_runs(name: str, late: str = "as_written", on_duplicate: str = "error") -> Query:
@@ -265,6 +289,25 @@ def _unique_check(inputs: DemoInputs) -> DataFrame:
     return dq.run_checks(inputs.installs, "installs_attribution", checks)
 
 
+def _all_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks over stored tables, as a scheduler runs them after a refresh."""
+    inputs = DemoInputs(tune(spark), sf_dir)
+    workspace = Workspace(spark)
+    tables = {name: workspace.table(name) for name in dq.ALL_CHECKS}
+    for name, df in (("events", inputs.events), ("installs_attribution", inputs.installs), ("marketing_spend", inputs.spend)):
+        df.write.saveAsTable(tables[name])
+    for name, build in (
+        (GAMES.name, lambda: games.fct_games(spark.table(tables["events"]))),
+        (ROOMS.name, lambda: rooms.fct_rooms(spark.table(tables["events"]))),
+        (DAILY.name, lambda: daily.daily_player(spark.table(tables["events"]))),
+    ):
+        create_fact(build(), tables[name], FACTS[name])
+    stored_daily = read_fact(spark, tables[DAILY.name], DAILY)
+    latest = high_water_mark(stored_daily, "date_utc")
+    create_fact(roas.marketing_roas(stored_daily, inputs.installs, inputs.spend, latest), tables[ROAS.name], ROAS)
+    return dq.check_tables(spark, tables)
+
+
 def _model_checks(inputs: DemoInputs) -> DataFrame:
     return (
         dq.run_checks(games.fct_games(inputs.events), "fct_games", dq.GAME_CHECKS)
@@ -365,8 +408,8 @@ def all_queries() -> dict[str, Query]:
             lambda i: roas.roas_cumulative(daily.purchases_daily(i.events), i.installs, i.spend)
         ),
         # merges and refreshes
-        "incremental_watermark": over_events(_mark),
-        "incremental_filter": over_events(_new_joins),
+        "incremental_watermark": _mark,
+        "incremental_filter": _new_joins,
         "merge_upsert_games": over_events(_merge_games),
         "merge_upsert_rooms": over_events(_merge_rooms),
         "merge_upsert_daily_player": over_events(_merge_daily),
@@ -378,11 +421,15 @@ def all_queries() -> dict[str, Query]:
         "fct_games_incremental_fixed": _two_runs("fct_games", "reprocess", "keep_all"),
         "fct_rooms_incremental_fixed": _two_runs("fct_rooms", "reprocess", "keep_all"),
         "daily_player_incremental_fixed": _two_runs("daily_player", "reprocess"),
+        "fct_games_late_fixed": _late("fct_games"),
+        "fct_rooms_late_fixed": _late("fct_rooms"),
+        "daily_player_late_fixed": _late("daily_player"),
         "fct_games_streamed": _streamed("fct_games"),
         "fct_rooms_streamed": _streamed("fct_rooms"),
         # checks
         "dq_sources_not_null": over_inputs(_source_checks),
         "dq_installs_unique": over_inputs(_unique_check),
         "dq_models_not_null": over_inputs(_model_checks),
+        "dq_all": _all_checks,
         "dq_roas_not_null": over_inputs(lambda i: dq.failing_rows(_roas(i), dq.PAID_ROAS_CHECK)),
     }

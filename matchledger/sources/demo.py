@@ -143,3 +143,15 @@ def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_run(events: DataFrame) -> DataFrame:
     """The part of the log that a first refresh sees."""
     return events.filter(F.col("date_utc") <= F.lit(FIRST_RUN_UNTIL).cast("date"))
+
+
+#: Which raw events come in late: by id, so they are of all times.
+LATE_ROWS = "event_id % 7 = 3"
+
+
+def on_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return game_log(raw_events(spark, sf_dir).filter(f"NOT ({LATE_ROWS})"))
+
+
+def arrived_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return game_log(raw_events(spark, sf_dir).filter(LATE_ROWS))

@@ -40,8 +40,9 @@ def keep_current(
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         touched_name, touched = workspace.stage(touched_keys(batch, keys), "touched")
+        staged = [touched_name]
         try:
-            rows = _rebuilt(fact, log(), touched)
+            rows = _rebuilt(fact, log(), touched, workspace, staged)
             if spark.catalog.tableExists(table):
                 upsert_table(
                     spark, table, rows, fact, workspace, on_duplicate="keep_all", null_safe=True
@@ -49,7 +50,7 @@ def keep_current(
             else:
                 create_fact(rows, table, fact)
         finally:
-            workspace.release(touched_name)
+            workspace.release(*staged)
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -59,7 +60,9 @@ def keep_current(
     )
 
 
-def _rebuilt(fact: Fact, events: DataFrame, touched: DataFrame) -> DataFrame:
+def _rebuilt(
+    fact: Fact, events: DataFrame, touched: DataFrame, workspace: Workspace, staged: list[str]
+) -> DataFrame:
     if fact is GAMES:
-        return games.games_of(events, touched)
+        return games.games_of(events, touched, workspace, staged)
     return rooms.rooms_of(events, touched)

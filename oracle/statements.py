@@ -186,7 +186,8 @@ def _scores(source: str) -> str:
 
 def _rewards(source: str) -> str:
     return f"""SELECT date_utc, player_id,
-        count(if(reward IS NULL AND coins_claimed IS NULL, 0, 1)) AS matches_won_reward,
+        -- The written CASE is never NULL, so counting it counts every claim.
+        count(*) AS matches_won_reward,
         count(*) AS matches_claimed
     FROM {claimed(source)} GROUP BY ALL"""
 
@@ -609,37 +610,38 @@ def all_statements() -> dict[str, str]:
     s["fct_games_incremental_fixed"] = s["fct_games"]
     s["fct_rooms_incremental_fixed"] = s["fct_rooms"]
     s["daily_player_incremental_fixed"] = s["daily_player"]
+    s["fct_games_late_fixed"] = s["fct_games"]
+    s["fct_rooms_late_fixed"] = s["fct_rooms"]
+    s["daily_player_late_fixed"] = s["daily_player"]
     s["fct_games_streamed"] = s["fct_games"]
     s["fct_rooms_streamed"] = s["fct_rooms"]
 
     # checks
-    s["dq_sources_not_null"] = statement(
-        checks(
-            nulls("game_events", "events", "event_name", "timestamp_utc")
-            + nulls("installs_attribution", "installs_attribution", "player_id", "install_date")
-            + nulls("marketing_spend", "marketing_spend", "media_source", "spend")
-        )
-    )
-    s["dq_installs_unique"] = statement(
-        checks([(
-            "installs_attribution", "player_id", "unique",
-            """SELECT count(*) FROM (SELECT player_id FROM installs_attribution
-               WHERE player_id IS NOT NULL GROUP BY player_id HAVING count(*) > 1)""",
-        )])
-    )
-    s["dq_models_not_null"] = statement(
-        checks(
-            nulls("g", "fct_games", "player_id", "room_id")
-            + nulls("r", "fct_rooms", "room_id", "tournament_id")
-            + nulls("d", "daily_player", "player_id", "date_utc")
-            + nulls("a", "marketing_roas", "media_source", "install_country")
-        ),
-        games("g"),
-        rooms("r"),
-        SPEND,
-        daily("d"),
-        roas("a", "d"),
-    )
+    of_sources = (
+        nulls("game_events", "events", "event_name", "timestamp_utc")
+        + nulls("installs_attribution", "installs_attribution", "player_id", "install_date")
+        + nulls("marketing_spend", "marketing_spend", "media_source", "spend")
+    )
+    unique_installs = [(
+        "installs_attribution", "player_id", "unique",
+        """SELECT count(*) FROM (SELECT player_id FROM installs_attribution
+           WHERE player_id IS NOT NULL GROUP BY player_id HAVING count(*) > 1)""",
+    )]
+    of_models = (
+        nulls("g", "fct_games", "player_id", "room_id")
+        + nulls("r", "fct_rooms", "room_id", "tournament_id")
+        + nulls("d", "daily_player", "player_id", "date_utc")
+        + nulls("a", "marketing_roas", "media_source", "install_country")
+    )
+    paid_roas = [(
+        "marketing_roas", "roas", "custom_not_null_roas",
+        "SELECT count(*) FROM a WHERE media_source <> 'Organic' AND roas IS NULL",
+    )]
+    models = (games("g"), rooms("r"), SPEND, daily("d"), roas("a", "d"))
+    s["dq_sources_not_null"] = statement(checks(of_sources))
+    s["dq_installs_unique"] = statement(checks(unique_installs))
+    s["dq_models_not_null"] = statement(checks(of_models), *models)
+    s["dq_all"] = statement(checks(of_sources + unique_installs + of_models + paid_roas), *models)
     s["dq_roas_not_null"] = statement(
         "SELECT * FROM a WHERE media_source <> 'Organic' AND roas IS NULL", SPEND, daily("d"), roas("a", "d")
     )

@@ -151,3 +151,17 @@ def test_fill_is_idempotent(spark):
     once = forward_fill(df, ["player_id"], "date_utc", ["v"])
     assert [r.v for r in once.orderBy("date_utc").collect()] == [None, 4, 4, 4, 7, 7]
     assert bag(forward_fill(once, ["player_id"], "date_utc", ["v"])) == bag(once)
+
+
+def test_tied_days_give_one_result_for_any_order_of_the_input(spark, log):
+    events = [
+        joined("05 10:00", room_id=2, balance_before=200), joined("05 10:00", room_id=1, balance_before=100),
+        finished("05 11:00", room_id=2, balance_before=20), finished("05 11:00", room_id=1, balance_before=10),
+        joined("08 10:00", balance_before=5),
+    ]
+    for ties in ("keep", "first"):
+        one, other = log(*events), log(*reversed(events))
+        results = [bag(daily.daily_player(e.coalesce(1), ties)) for e in (one, other)]
+        results += [bag(daily.daily_player(e.repartition(3), ties)) for e in (one, other)]
+        assert all(r == results[0] for r in results)
+    assert bag(daily.forward_filled(one)) == bag(daily.forward_filled(other))

@@ -133,12 +133,16 @@ def test_a_match_with_a_third_of_the_claims_is_cut_into_lanes(spark, workspace):
         events = events.unionByName(_typed(spark, name, "id").filter("player_id < 900"))
     laned = joins_module.repeated_keys([claims(events)], MATCH_KEYS, 500)
     assert [(r.player_id, r["_side"], r["_lanes"]) for r in laned.collect()] == [(0, 0, 20)]
-    split = fct_games_split(events, workspace, limit=500)
+    staged = []
+    split = fct_games_split(events, workspace, limit=500, staged=staged)
     assert split.count() == 900 - 1 + 10000
     assert bag(split) == bag(fct_games(events))
+    assert len(staged) == 1
     # The copies of the one join are in as many lanes, none of which holds much of the result.
     rows = joins_module.laned_left_joins(joins(events), [claims(events)], MATCH_KEYS, laned)
     assert rows.filter("player_id = 0").count() == 10000
+    workspace.release(*staged)
+    assert spark.sql(f"SHOW TABLES IN {workspace.database}").isEmpty()
 
 
 @pytest.mark.parametrize("limit", [1, 2, 1000])
@@ -158,3 +162,31 @@ def test_lanes_agree_with_the_plain_join(log, workspace, limit):
     )
     assert fct_games(events).count() == 2 * 3 * 2 + 3 + 1 + 1
     assert bag(fct_games_split(events, workspace, limit)) == bag(fct_games(events))
+
+
+def test_no_match_is_cut_where_none_repeats(spark, workspace, log):
+    events = log(joined("05 10:00"), claimed("05 11:00"))
+    staged = []
+    assert bag(fct_games_split(events, workspace, staged=staged)) == bag(fct_games(events))
+    assert staged == [] and spark.sql(f"SHOW TABLES IN {workspace.database}").isEmpty()
+
+
+def test_refreshes_cut_matches_into_lanes(spark, workspace, log, monkeypatch):
+    from matchledger.plans import games
+    from matchledger.plans.refresh import Inputs, refresh
+
+    plain = games.split_lifecycle
+    monkeypatch.setattr(games, "split_lifecycle", lambda *args: plain(*args[:4], 5))
+    seen = []
+    laned = games.laned_left_joins
+    monkeypatch.setattr(games, "laned_left_joins", lambda *args: seen.append(1) or laned(*args))
+    first = [joined("05 10:00"), joined("05 10:05", player_id=2), *[claimed(f"05 11:{i:02d}") for i in range(20)]]
+    later = [finished("06 10:00", play_duration=3), claimed("06 10:01", player_id=2)]
+    for late in ("as_written", "reprocess"):
+        table = workspace.table(f"games_{late}")
+        refresh(spark, "fct_games", table, Inputs(events=log(*first)), workspace)
+        out = refresh(spark, "fct_games", table, Inputs(events=log(*first, *later)), workspace, late, "keep_all")
+        expected = fct_games(log(*first, *later) if late == "reprocess" else log(*first))
+        assert bag(out) == bag(expected)
+    assert len(seen) >= 3
+    assert {r.tableName for r in spark.sql(f"SHOW TABLES IN {workspace.database}").collect()} == {"games_as_written", "games_reprocess"}

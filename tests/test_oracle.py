@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as contract
+from matchledger.registry import all_queries
+from oracle.statements import all_statements
 from tests.compare import connect, duck_bag, spark_bag
 from tests.conftest import SF_DIR
 
-QUERIES = contract.queries()
-STATEMENTS = contract.oracle_sql()
+QUERIES = all_queries()
+STATEMENTS = all_statements()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,8 @@ def duck():
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(STATEMENTS) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

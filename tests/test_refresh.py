@@ -78,6 +78,119 @@ def test_daily_is_redone_from_a_day_with_late_events(spark, workspace, log):
     assert bag(out) == bag(daily.daily_player(everything))
 
 
+@pytest.mark.parametrize(("name", "full"), [("fct_games", games.fct_games), ("fct_rooms", rooms.fct_rooms)])
+def test_events_that_come_in_late_are_seen_whatever_their_time(spark, workspace, log, name, full):
+    """Earlier than what is stored, and with a join from the future already there."""
+    first = [*FIRST, joined("20 10:00", player_id=9, room_id=99)]
+    late = [finished("05 11:00", play_duration=9, players_active_in_toom=2), joined("04 09:00", player_id=8, room_id=12)]
+    everything = log(*first, *late)
+    table = workspace.table(name)
+    refresh(spark, name, table, Inputs(events=log(*first)), workspace)
+    out = refresh(
+        spark, name, table, Inputs(events=everything, arrived=log(*late)), workspace, "reprocess", "keep_all"
+    )
+    assert bag(out) == bag(full(everything))
+
+
+@pytest.mark.parametrize(("name", "full"), [("fct_games", games.fct_games), ("fct_rooms", rooms.fct_rooms)])
+def test_redo_from_a_day_sees_its_late_events(spark, workspace, log, name, full):
+    late = [finished("05 11:00", play_duration=9, players_active_in_toom=2)]
+    everything = log(*FIRST, joined("08 10:00", player_id=7, room_id=13), *late)
+    first = log(*FIRST, joined("08 10:00", player_id=7, room_id=13))
+    unseen = two_runs(spark, workspace, name, first, everything, late="reprocess", on_duplicate="keep_all")
+    assert bag(unseen) != bag(full(everything))
+    out = refresh(
+        spark, name, workspace.table(name), Inputs(events=everything), workspace, "reprocess", "keep_all", redo_from=day(5)
+    )
+    assert bag(out) == bag(full(everything))
+
+
+def test_daily_is_redone_from_the_first_day_that_came_in(spark, workspace, log):
+    late = [joined("06 08:00", balance_before=90), purchase("07 08:00", player_id=3, price_usd=2.0)]
+    on_time = [joined("05 10:00", balance_before=100), joined("08 10:00", balance_before=70)]
+    everything = log(*on_time, *late)
+    table = workspace.table("daily_player")
+    refresh(spark, "daily_player", table, Inputs(events=log(*on_time)), workspace)
+    out = refresh(spark, "daily_player", table, Inputs(events=everything, arrived=log(*late)), workspace, "reprocess")
+    assert bag(out) == bag(daily.daily_player(everything))
+
+
+def test_rules_for_late_events_need_reprocessing(spark, workspace, log):
+    events = log(joined("05 10:00"))
+    with pytest.raises(ValueError, match="reprocess"):
+        refresh(spark, "fct_games", "t", Inputs(events=events), workspace, redo_from=day(5))
+    with pytest.raises(ValueError, match="reprocess"):
+        refresh(spark, "fct_games", "t", Inputs(events=events, arrived=events), workspace)
+
+
+def test_only_the_table_of_the_current_database_is_written(spark, workspace, log):
+    """A table of the same name in the default database is left alone."""
+    elsewhere, everything = log(joined("01 10:00", player_id=77)), log(*FIRST, *LATER)
+    database = spark.catalog.currentDatabase()
+    spark.sql("USE default")
+    games.fct_games(elsewhere).write.saveAsTable("same_name_games")
+    before = bag(spark.table("default.same_name_games"))
+    try:
+        spark.sql(f"USE {workspace.database}")
+        for events in (log(*FIRST), everything):
+            out = refresh(spark, "fct_games", "same_name_games", Inputs(events=events), workspace, "reprocess", "keep_all")
+        assert bag(out) == bag(games.fct_games(everything))
+        assert bag(spark.table(f"{workspace.database}.same_name_games").select(*out.columns)) == bag(out)
+        assert bag(spark.table("default.same_name_games")) == before
+    finally:
+        spark.sql(f"USE {database}")
+        spark.sql("DROP TABLE IF EXISTS default.same_name_games")
+
+
+def test_a_view_is_not_refreshed(spark, workspace, log):
+    games.fct_games(log(*FIRST)).createOrReplaceTempView("a_view_of_games")
+    with pytest.raises(ValueError, match="not a stored table"):
+        refresh(spark, "fct_games", "a_view_of_games", Inputs(events=log(*FIRST)), workspace)
+    spark.catalog.dropTempView("a_view_of_games")
+
+
+@pytest.fixture()
+def zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    yield lambda name: spark.conf.set("spark.sql.session.timeZone", name)
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("name", ["fct_games", "fct_rooms"])
+def test_zoned_times_give_one_table_in_any_session_zone(spark, workspace, zone, name):
+    """Across midnight UTC, and in the hour that New York has twice."""
+    times = ["2024-11-03 05:30:00", "2024-11-03 06:30:00", "2024-11-03 23:30:00", "2024-11-04 00:30:00"]
+    row = "{p}, '{n}', timestamp_seconds({s}), DATE'{d}', {r}, 3"
+
+    def events(upto: int):
+        import calendar
+        import time
+
+        rows = []
+        for i, t in enumerate(times[:upto]):
+            seconds = calendar.timegm(time.strptime(t, "%Y-%m-%d %H:%M:%S"))
+            for kind, offset in ((schemas.JOINED, 0), (schemas.FINISHED, 60)):
+                rows.append("(" + row.format(p=i, n=kind, s=seconds + offset, d=t[:10], r=10 + i) + ")")
+        df = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS e(player_id, event_name, timestamp_utc, date_utc, room_id, tournament_id)")
+        missing = [f for f in schemas.EVENTS.fields if f.name not in df.columns]
+        return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]).select(*schemas.EVENTS.names)
+
+    found = []
+    for k, session_zone in enumerate(("UTC", "Asia/Tokyo", "America/New_York")):
+        zone(session_zone)
+        table = workspace.table(f"{name}_{k}")
+        for late in ("as_written", "reprocess"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            refresh(spark, name, table, Inputs(events=events(1)), workspace)
+            out = refresh(spark, name, table, Inputs(events=events(4)), workspace, late, "keep_all")
+            times_out = [c for c, t in out.dtypes if t == "timestamp"]
+            exact = out.select(*[F.unix_micros(c).alias(c) if c in times_out else F.col(c) for c in out.columns])
+            parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect())
+            found.append((bag(exact), parts))
+    assert all(f == found[0] for f in found)
+    assert len(found[0][0]) == 4 and len(found[0][1]) == 2
+
+
 def test_empty_target_loads_nothing_as_written(spark, workspace, log):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")

@@ -76,6 +76,20 @@ def test_three_wins_of_which_two_in_a_row(spark):
     assert (row.max_reward_won_streak, row.max_losing_streak) == (2, 1)
 
 
+def test_rows_without_a_time_stay_and_come_first(spark):
+    at = dt.datetime(2024, 1, 5, 10)
+    rows = [(1, at.date(), None, 1, 0), (1, at.date(), at, 0, 1), (1, at.date(), None, 0, 0), (2, at.date(), None, 1, 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = {(r.player_id, r.event_order): r for r in streaks.ordered_flags(df).collect()}
+    assert sorted(out) == [(1, 1), (1, 2), (1, 3), (2, 1)]
+    assert [out[(1, k)].timestamp_utc for k in (1, 2, 3)] == [None, None, at]
+    assert [out[(1, k)].previous_is_win for k in (1, 2, 3)] == [0, 0, 1]
+    groups = streaks.streak_groups(df).collect()
+    assert sorted((r.player_id, r.win_streak_group, r.loss_streak_group) for r in groups) == [(1, 2, 1)] * 3 + [(2, 1, 0)]
+    longest_wins = {r.player_id: r.max_reward_won_streak for r in streaks.true_streaks(df).collect()}
+    assert longest_wins == {1: 1, 2: 1}
+
+
 def test_zoned_timestamps_give_the_same_order(spark):
     rows = make(7, n=30)
     plain = spark.createDataFrame(rows, SCHEMA)
