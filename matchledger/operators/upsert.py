@@ -7,13 +7,14 @@ partitions a merge touches and no others.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from matchledger.operators.joins import SPREAD, any_null, spread
+from matchledger.operators.keydays import distinct_days, on_days
 from matchledger.schemas import Fact
 from matchledger.session import Workspace
 from matchledger.sources.tables import qualified, with_partition
@@ -76,18 +77,6 @@ def _unique_or_error(source: DataFrame, keys: Sequence[str], null_safe: bool) ->
     return rows.withColumn("_here", here)
 
 
-def _days(df: DataFrame, column: str) -> set[dt.date | None]:
-    """Distinct partition days: as many as the calendar of the data has, not its rows."""
-    return {row[0] for row in df.select(column).distinct().collect()}
-
-
-def _on_days(column: str, days: Iterable[dt.date | None]) -> Column:
-    """A literal filter on the partition column, so that the scan prunes by it."""
-    known = sorted(d for d in days if d is not None)
-    condition = F.col(column).isin([F.lit(d) for d in known]) if known else F.lit(False)
-    return condition | F.col(column).isNull() if None in set(days) else condition
-
-
 def has_duplicates(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> bool:
     whole = df if null_safe else df.dropna(subset=list(keys))
     return not whole.groupBy(*keys).count().filter(F.col("count") > 1).isEmpty()
@@ -101,9 +90,13 @@ def upsert_table(
     workspace: Workspace,
     on_duplicate: str = "error",
     null_safe: bool = False,
+    within: set[dt.date | None] | None = None,
 ) -> None:
     """Merge `source` into the partitioned `table`.
 
+    `within`: days that are known to hold every target row the source matches;
+    other partitions are then not read.
+
     1. The source is staged: evaluated once, and its size is known, so joins
        with it are broadcast exactly when it is small enough.
     2. Touched partitions are those of the source rows and those where matched
@@ -126,24 +119,25 @@ def upsert_table(
         if on_duplicate == "error" and has_duplicates(staged, keys, null_safe):
             raise DuplicateKeys(f"several source rows for one key of {fact.name}")
         target = spark.table(table)
-        touched = _days(staged, part)
+        touched = distinct_days(staged, part)
         if part in keys:
             # A matched row is in the partition of the source row that matches it.
-            before = target.filter(_on_days(part, touched))
+            before = target.filter(on_days(part, touched))
             content = _merge(before, staged, keys, on_duplicate, null_safe)
         else:
             # Keys of the target that the source matches, with the day they are stored under.
             wanted = staged.select(*keys).distinct().alias("s")
             hits_name, hits = workspace.stage(
-                target.select(*keys, part)
+                (target if within is None else target.filter(on_days(part, within)))
+                .select(*keys, part)
                 .alias("t")
                 .join(wanted, _keys_equal(keys, "t", "s", null_safe), "left_semi")
                 .distinct(),
                 f"{fact.name}_matched",
             )
             names.append(hits_name)
-            touched |= _days(hits, part)
-            before = target.filter(_on_days(part, touched))
+            touched |= distinct_days(hits, part)
+            before = target.filter(on_days(part, touched))
             if on_duplicate == "keep_all":
                 content = _merge(before, staged, keys, on_duplicate, null_safe)
             else:
@@ -156,7 +150,7 @@ def upsert_table(
             names.remove(after_name)
             failure.add_note(f"{after_name} holds the new content; finish with overwrite_partitions")
             raise
-        for day in touched - _days(after, part):
+        for day in touched - distinct_days(after, part):
             value = "NULL" if day is None else f"DATE'{day.isoformat()}'"
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = {value})")
         spark.catalog.refreshTable(table)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchledger.operators.joins import any_null
+from matchledger.operators.keydays import days_of, on_days, record_days
 from matchledger.operators.upsert import upsert_table
 from matchledger.operators.watermark import high_water_mark, incremental_filter, typed_literal
 from matchledger.plans import daily, games, roas, rooms
@@ -31,10 +32,14 @@ class Inputs:
     """What the facts are built from; `latest` is the last day of `daily` where it is known.
 
     `arrived`: the events that came in since the last refresh, also part of `events`.
+    `key_days`: a table of its own for one stored fact, in which refreshes of matches or
+    rooms record the days of each; with it they read and rewrite those days only. It
+    needs `arrived`, and must be there from the first build on.
     """
 
     events: DataFrame | None = None
     arrived: DataFrame | None = None
+    key_days: str | None = None
     installs: DataFrame | None = None
     spend: DataFrame | None = None
     daily: DataFrame | None = None
@@ -42,6 +47,8 @@ class Inputs:
 
 
 FACTS = {fact.name: fact for fact in (GAMES, ROOMS, DAILY, ROAS)}
+#: Facts whose refresh may keep an index of days, and its keys.
+INDEXED = {GAMES.name: MATCH_KEYS, ROOMS.name: ROOM_KEYS}
 
 
 def refresh(
@@ -67,15 +74,22 @@ def refresh(
     try:
         if not spark.catalog.tableExists(table):
             create_fact(_full(name, inputs, workspace, staged), table, fact)
+            if inputs.key_days and name in INDEXED:
+                record_days(spark, inputs.key_days, inputs.events, INDEXED[name])
             return read_fact(spark, table, fact)
         table = qualified(spark, table)
         stored = read_fact(spark, table, fact)
+        within = None
         if late == "as_written":
             source = _as_written(name, inputs, stored, workspace, staged)
+        elif inputs.key_days and name in INDEXED:
+            source, within = _reprocessed_by_day(spark, name, inputs, workspace, staged, redo_from)
         else:
             source = _reprocessed(name, inputs, stored, workspace, staged, redo_from)
         # What is rebuilt takes the place of what was there, under incomplete keys too.
-        upsert_table(spark, table, source, fact, workspace, on_duplicate, null_safe=late == "reprocess")
+        upsert_table(
+            spark, table, source, fact, workspace, on_duplicate, null_safe=late == "reprocess", within=within
+        )
     finally:
         workspace.release(*staged)
     return read_fact(spark, table, fact)
@@ -148,6 +162,25 @@ def _reprocessed(
     return _full(name, inputs, workspace, staged)
 
 
+def _reprocessed_by_day(
+    spark: SparkSession, name: str, inputs: Inputs, workspace: Workspace, staged: list[str], redo_from: dt.date | None
+) -> tuple[DataFrame, set[dt.date | None]]:
+    """The touched matches or rooms, read from the days they have events on, and those days."""
+    if inputs.arrived is None or not spark.catalog.tableExists(inputs.key_days):
+        raise ValueError("key_days needs the arrived events, and to be there from the first build on")
+    keys = INDEXED[name]
+    record_days(spark, inputs.key_days, inputs.arrived, keys)
+    found = touched_keys(inputs.arrived, keys)
+    if redo_from is not None:
+        found = found.union(touched_keys(inputs.events.filter(F.col("date_utc") >= F.lit(redo_from)), keys)).distinct()
+    touched = _stage(workspace, staged, found, "touched")
+    days = days_of(spark, inputs.key_days, touched, keys)
+    events = inputs.events.filter(on_days("date_utc", days))
+    if name == GAMES.name:
+        return games.games_of(events, touched, workspace, staged), days | {None}
+    return rooms.rooms_of(events, touched), days | {None}
+
+
 def _touched(
     inputs: Inputs, keys: list[str], stored: DataFrame, times: tuple[str, ...], redo_from: dt.date | None
 ) -> DataFrame:

@@ -42,7 +42,7 @@ def over_events(build: Callable[[DataFrame], DataFrame]) -> Query:
 class DemoInputs:
     """The inputs of one query, each built when it is first asked for."""
 
-    arrived = None
+    arrived = key_days = None
 
     def __init__(self, spark: SparkSession, sf_dir: str, first_run: bool = False):
         self._spark, self._sf_dir, self._first_run = spark, sf_dir, first_run
@@ -208,14 +208,20 @@ def _mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _late(name: str) -> Query:
-    """Build a stored fact without the events that come in late, then refresh it with those."""
+    """Build a stored fact without the events that come in late, then refresh it with those.
+
+    Matches and rooms keep an index of their days, so only those are read again.
+    """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
         workspace = Workspace(spark)
         table = workspace.table(name)
-        refresh(spark, name, table, Inputs(events=demo.on_time(spark, sf_dir)), workspace)
-        inputs = Inputs(events=demo.game_events(spark, sf_dir), arrived=demo.arrived_late(spark, sf_dir))
+        key_days = workspace.table("key_days")
+        refresh(spark, name, table, Inputs(events=demo.on_time(spark, sf_dir), key_days=key_days), workspace)
+        inputs = Inputs(
+            events=demo.game_events(spark, sf_dir), arrived=demo.arrived_late(spark, sf_dir), key_days=key_days
+        )
         out = refresh(spark, name, table, inputs, workspace, "reprocess", "keep_all" if name != DAILY.name else "error")
         return cents(out) if name == DAILY.name else out
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from matchledger.operators.keydays import days_of, on_days, record_days
 from matchledger.operators.upsert import upsert_table
 from matchledger.plans import games, rooms
 from matchledger.plans.refresh import FACTS, touched_keys
@@ -28,12 +29,15 @@ def keep_current(
     table: str,
     workspace: Workspace,
     checkpoint: str,
+    key_days: str | None = None,
 ) -> StreamingQuery:
     """Start a query that merges what arrives on `stream` into the fact `name`.
 
     `log` gives the stored event log at the time of a batch; it must hold the
     batch's own events by then. The trigger takes what is there and stops, so
-    a scheduler can call this every hour.
+    a scheduler can call this every hour. `key_days` names an index of the days of
+    each match or room (see `Inputs`), which the stream has to keep from its start;
+    with it a batch reads and rewrites only days that matter.
     """
     fact = FACTS[name]
     keys = MATCH_KEYS if fact is GAMES else ROOM_KEYS
@@ -42,10 +46,16 @@ def keep_current(
         touched_name, touched = workspace.stage(touched_keys(batch, keys), "touched")
         staged = [touched_name]
         try:
-            rows = _rebuilt(fact, log(), touched, workspace, staged)
+            events, within = log(), None
+            if key_days:
+                record_days(spark, key_days, batch, keys)
+                within = days_of(spark, key_days, touched, keys)
+                events = events.filter(on_days("date_utc", within))
+                within = within | {None}
+            rows = _rebuilt(fact, events, touched, workspace, staged)
             if spark.catalog.tableExists(table):
                 upsert_table(
-                    spark, table, rows, fact, workspace, on_duplicate="keep_all", null_safe=True
+                    spark, table, rows, fact, workspace, on_duplicate="keep_all", null_safe=True, within=within
                 )
             else:
                 create_fact(rows, table, fact)

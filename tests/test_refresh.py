@@ -92,6 +92,48 @@ def test_events_that_come_in_late_are_seen_whatever_their_time(spark, workspace,
     assert bag(out) == bag(full(everything))
 
 
+@pytest.mark.parametrize(("name", "full"), [("fct_games", games.fct_games), ("fct_rooms", rooms.fct_rooms)])
+def test_an_index_of_days_prunes_log_and_target(spark, workspace, log, name, full, monkeypatch):
+    """Among them a match whose events lie twenty days apart."""
+    from matchledger.operators import upsert
+
+    first = [*FIRST, *[joined(f"{d:02d} 10:00", player_id=d, room_id=100 + d) for d in range(6, 25)]]
+    late = [claimed("25 10:00"), finished("10 11:00", player_id=10, room_id=110)]
+    table, key_days = workspace.table(name), workspace.table("key_days")
+    stored_log = workspace.table("log")
+    write_event_log(log(*first, *late), stored_log)
+    everything = read_events(spark, stored_log)
+    refresh(spark, name, table, Inputs(events=log(*first), key_days=key_days), workspace)
+    plans = []
+    plain = upsert.upsert_table
+
+    def seen(spark, table, source, *args, **options):
+        plans.append((source._jdf.queryExecution().executedPlan().toString(), options["within"]))
+        return plain(spark, table, source, *args, **options)
+
+    monkeypatch.setattr("matchledger.plans.refresh.upsert_table", seen)
+    inputs = Inputs(events=everything, arrived=log(*late), key_days=key_days)
+    out = refresh(spark, name, table, inputs, workspace, "reprocess", "keep_all")
+    assert bag(out) == bag(full(log(*first, *late)))
+    (text, within), = plans
+    import re
+
+    of_log = [s for s in re.findall(r"FileScan parquet [^\n]*", text) if ".log[" in s]
+    assert of_log and all("date_utc" in re.search(r"PartitionFilters: \[([^\]]*)\]", s).group(1) for s in of_log)
+    assert within == {day(5), day(10), day(25), None}
+    # Once more, as after a failure.
+    again = refresh(spark, name, table, inputs, workspace, "reprocess", "keep_all")
+    assert bag(again) == bag(full(log(*first, *late)))
+
+
+def test_an_index_of_days_has_to_be_complete(spark, workspace, log):
+    events, table = log(joined("05 10:00")), workspace.table("fct_games")
+    refresh(spark, "fct_games", table, Inputs(events=events), workspace)
+    for inputs in (Inputs(events=events, key_days="no_days"), Inputs(events=events, arrived=events, key_days="no_days")):
+        with pytest.raises(ValueError, match="key_days"):
+            refresh(spark, "fct_games", table, inputs, workspace, "reprocess")
+
+
 @pytest.mark.parametrize(("name", "full"), [("fct_games", games.fct_games), ("fct_rooms", rooms.fct_rooms)])
 def test_redo_from_a_day_sees_its_late_events(spark, workspace, log, name, full):
     late = [finished("05 11:00", play_duration=9, players_active_in_toom=2)]
@@ -214,7 +256,7 @@ def test_stream_in_several_batches_equals_a_full_build(spark, workspace, tmp_pat
     )
     query = keep_current(
         spark, demo.game_log(stream), lambda: demo.game_events(spark, SF_DIR), name,
-        workspace.table(name), workspace, f"{tmp_path}/checkpoint",
+        workspace.table(name), workspace, f"{tmp_path}/checkpoint", workspace.table("key_days"),
     )
     query.awaitTermination()
     assert query.lastProgress is not None and query.lastProgress["batchId"] >= 2
