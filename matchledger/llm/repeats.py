@@ -137,6 +137,8 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
 
     later: whether there is an earlier place for each window in the span.
     """
+    # What is grouped is staged before it is joined: a join of two plain tables is one
+    # whose skewed partitions Spark splits, however often a passage occurs.
     retained = scratch.stage(suffixes(rows), "suffixes")
     shared = (
         retained.groupBy("prefix")
@@ -144,8 +146,10 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
         .filter("_n > 1")
         .select("prefix", (F.col("_least") != F.col("_most")).alias("differ"))
     )
+    shared = scratch.stage(shared, "shared")
     neighbours = scratch.stage(retained.join(shared, "prefix").drop("prefix"), "neighbours")
     classes = neighbours.groupBy("around").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    classes = scratch.stage(classes, "firsts")
     placed = scratch.stage(
         neighbours.join(classes, "around").select(
             TAG, "at", "n", "differ", (_place() == F.col("_first")).alias("first"), (F.col("_n") > 1).alias("again")
@@ -160,7 +164,8 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
     members = placed.filter("first and differ").groupBy(TAG).agg(F.collect_list("at").alias("ats"))
     windows = scratch.stage(_windows(rows.join(members, TAG)), "windows")
     repeated = windows.groupBy("window").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    single = windows.join(repeated.filter("_n > 1"), "window").select(
+    repeated = scratch.stage(repeated.filter("_n > 1"), "repeated")
+    single = windows.join(repeated, "window").select(
         TAG, (_place() != F.col("_first")).alias("later"), F.col("at").alias("start"),
         (F.col("at") + MIN_WORDS).alias("end"),
     )
