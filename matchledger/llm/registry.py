@@ -12,10 +12,10 @@ from matchledger.llm.licenses import op5_licenses, op5_sql
 from matchledger.llm.mixing import op7_mixing, op7_sql
 from matchledger.llm.nearest import op3_nearest, op3_sql
 from matchledger.llm.packing import op2_packing
-from matchledger.llm.repeats import op4_repeats
+from matchledger.llm.repeats import op4_repeats, op4_sql
 from matchledger.llm.simhash import op9_simhash
 from matchledger.llm.topk import op10_sql, op10_topk
-from matchledger.llm.warc import op6_warc
+from matchledger.llm.warc import op6_sql, op6_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +38,9 @@ def llm_queries() -> dict[str, Query]:
 def llm_statements() -> dict[str, str]:
     return {
         "op3_nearest": op3_sql(),
+        "op4_repeats": op4_sql(),
         "op5_licenses": op5_sql(),
+        "op6_warc": op6_sql(),
         "op7_mixing": op7_sql(),
         "op10_topk": op10_sql(),
     }

@@ -230,3 +230,25 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, sizes: dict[str, Column] | N
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+def op4_sql() -> str:
+    """All windows, grouped by their words. Rows are taken in the order of doc_id, as the test tables are."""
+    return rf"""WITH docs AS (
+    SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS k, regexp_extract_all(coalesce(text, ''), '[^ \t\n\r\f\x0B]+') AS w
+    FROM documents
+), windows AS (
+    SELECT k, i, array_to_string(w[i + 1 : i + {MIN_WORDS}], ' ') AS words
+    FROM (SELECT k, w, unnest(range(0, len(w) - {MIN_WORDS - 1})) AS i FROM docs WHERE len(w) >= {MIN_WORDS})
+), places AS (
+    SELECT k, i, count(*) OVER (PARTITION BY words) AS n, row_number() OVER (PARTITION BY words ORDER BY k, i) AS place
+    FROM windows
+), spans AS (
+    SELECT k, i, false AS later FROM places WHERE n > 1 UNION ALL SELECT k, i, true FROM places WHERE place > 1
+), opened AS (
+    SELECT *, i > coalesce(lag(i) OVER (PARTITION BY k, later ORDER BY i) + {MIN_WORDS}, -1) AS opens FROM spans
+), runs AS (
+    SELECT *, sum(opens::INTEGER) OVER (PARTITION BY k, later ORDER BY i) AS run FROM opened
+)
+SELECT doc_id, min(i)::INTEGER AS start_word, (max(i) + {MIN_WORDS} - min(i))::INTEGER AS n_words, later
+FROM runs JOIN docs USING (k) GROUP BY doc_id, k, later, run"""

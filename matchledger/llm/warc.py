@@ -345,5 +345,17 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = round_trip(table(spark, sf_dir, "pages"), Scratch(spark))
     return records.select(
         page_number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-        page_number("refers_to").alias("refers_to"), "archive", "offset", "length",
+        page_number("refers_to").alias("refers_to"),
+    )
+
+
+def op6_sql() -> str:
+    return (
+        "WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS size, "
+        "row_number() OVER (PARTITION BY html ORDER BY page_id) AS place, "
+        "min(page_id) OVER (PARTITION BY html) AS first_id FROM pages), "
+        f"typed AS (SELECT *, size >= {REVISIT_FROM_BYTES} AND place > 1 AS again FROM payloads) "
+        "SELECT page_id, size::BIGINT AS payload_bytes, sha256(payload) AS payload_digest, "
+        "CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, "
+        "CASE WHEN again THEN first_id END AS refers_to FROM typed"
     )
