@@ -175,8 +175,8 @@ class TokenAutomaton:
 
     def accepts_at(self, words: list[bytes], start: int) -> bool:
         states = self.closed({0})
-        for word in words[start:]:
-            states = self.closed({t for s in states for t in (*self.steps[s].get(word, ()), *self.free[s])})
+        for k in range(start, len(words)):
+            states = self.closed({t for s in states for t in (*self.steps[s].get(words[k], ()), *self.free[s])})
             if self.last in states:
                 return True
             if not states:

@@ -32,6 +32,15 @@ def test_optional_and_free_parts():
     assert accepted('<<beginOptional>>a<<endOptional>> b<<var;words="0-1">> c', "a b c b x c b x y c") == [0, 1, 3]
 
 
+def test_many_starts_in_a_long_text_take_linear_time():
+    import time
+
+    text = ("all rights " * 100_000 + "all rights reserved").encode()
+    began = time.perf_counter()
+    assert scan_text(text)[:4] == (200_003, 1, 200_000, 200_000)
+    assert time.perf_counter() - began < 20
+
+
 def test_broken_templates():
     for markup in ("a <<endOptional>>", "<<beginOptional>> a", "a <<other>>", "<<beginOptional>>a<<endOptional>>", '<<var;words="0-2">>'):
         with pytest.raises(ValueError):
