@@ -14,6 +14,7 @@ ranks a size by itself. A rank says which sequence of which pattern a piece is i
 
 from __future__ import annotations
 
+import math
 import re
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -33,7 +34,6 @@ SEQUENCE = 4_096
 GRID = 16
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-SHARE_ROWS = 500_000
 KEPT_WORDS = 250_000
 
 
@@ -246,7 +246,8 @@ def assign_sequences(pieces: DataFrame, scratch: Scratch, length: int = SEQUENCE
         raise ValueError("the grid must divide the sequence length")
     sized = pieces.withColumn("_size", F.ceil(F.col("length") / grid).cast("int"))
     histogram = {r["_size"]: r["n"] for r in sized.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).collect()}
-    shares = max(1, sum(histogram.values()) // SHARE_ROWS)
+    # As many shares as keep both a share of a size and the list of a size's shares short.
+    shares = max(1, math.isqrt(sum(histogram.values())) // 4)
     sized = sized.withColumn("_share", F.pmod(F.xxhash64(TAG, "start"), F.lit(shares)).cast("int"))
 
     rows, first, taken = [], 0, dict.fromkeys(histogram, 0)

@@ -98,8 +98,7 @@ def test_odd_documents(spark, scratch, documents):
     check_layout(same)
 
 
-def test_shares_of_a_size(monkeypatch, scratch, documents):
-    monkeypatch.setattr("matchledger.llm.packing.SHARE_ROWS", 10)
+def test_many_pieces_of_a_size(scratch, documents):
     rows = pack(documents(*[(k, "same length") for k in range(2_000)]), scratch, with_ids=False).collect()
     check_layout(rows)
     assert len(rows) == 2_000
