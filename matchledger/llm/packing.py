@@ -16,8 +16,9 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -53,24 +54,24 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
-class Recent:
-    """Values by key for what was asked for lately: two generations, the older of which is dropped when the younger is full."""
+class Recent(dict):
+    """Values by key, made when first asked for: two generations, the older of which goes when the younger is full."""
 
-    def __init__(self, bound: int):
-        self.bound, self.young, self._old = bound, {}, {}
+    def __init__(self, make: Callable[[str], bytes], bound: int):
+        super().__init__()
+        self._make, self._bound, self._old = make, bound, {}
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """The keys without a value; all others are in `young` afterwards."""
-        if len(self.young) > self.bound:
-            self.young, self._old = {}, self.young
-        young, old = self.young, self._old
-        out = []
-        for key in keys.difference(young):
-            if key in old:
-                young[key] = old[key]
-            else:
-                out.append(key)
-        return out
+    def __missing__(self, key: str) -> bytes:
+        found = self._old.get(key)
+        if found is None:
+            found = self._make(key)
+        self[key] = found
+        return found
+
+    def trim(self) -> None:
+        if len(self) > self._bound:
+            self._old = dict(self)
+            self.clear()
 
 
 class WordIds:
@@ -80,28 +81,20 @@ class WordIds:
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
         self._model, self._letters = self._tokenizer.model, _byte_letters()
-        self._recent = Recent(KEPT_WORDS)
+        self._words = Recent(self._encode, KEPT_WORDS)
 
     def _encode(self, word: str) -> bytes:
         if not word.isascii():
             word = "".join([self._letters[b] for b in word.encode()])
-        return np.array([t.id for t in self._model.tokenize(word)], "<u4").tobytes()
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = [t.id for t in self._model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as little-endian 32-bit numbers."""
-        out: list[bytes] = []
-        for k in range(0, len(texts), 100):
-            some = texts[k : k + 100]
-            split = [_PARTS.findall(t.lower()) if _LATIN.fullmatch(t) and "<|" not in t else None for t in some]
-            missing = self._recent.missing(set().union(*filter(None, split)))
-            ids = self._recent.young
-            for word in missing:
-                ids[word] = self._encode(word)
-            out += [self._whole(t) if s is None else b"".join([ids[w] for w in s]) for t, s in zip(some, split, strict=True)]
-        return out
+    def __call__(self, text: str) -> bytes:
+        """The ids of a text, as little-endian 32-bit numbers."""
+        if not _LATIN.fullmatch(text) or "<|" in text:
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self._words.trim()
+        return b"".join(map(self._words.__getitem__, _PARTS.findall(text.lower())))
 
 
 @lru_cache(maxsize=2)
@@ -127,7 +120,7 @@ def cut_documents(docs: DataFrame, vocabulary: str | None = None, length: int =
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(path)
         for batch in batches:
-            found = [ids + end for ids in encode(batch.column("_text").to_pylist())]
+            found = [encode(text) + end for text in batch.column("_text").to_pylist()]
             owner, starts, pieces = [], [], []
             for i, ids in enumerate(found):
                 for start in range(0, len(ids), 4 * length):

@@ -55,7 +55,7 @@ def test_query_packs_every_id_once_with_little_padding(spark):
     assert sum(r.length for r in rows) / (sequences * SEQUENCE) > 0.97
 
 
-def test_words_are_encoded_as_within_their_text():
+def test_words_are_encoded_as_within_their_text(monkeypatch):
     texts = [
         "Don't stop--it's  the ÉCOLE'S  1,234.50!! end.\nΣΑΣ ΟΔΟΣ İstanbul a\x1cb c\x85d e f", "…«x»… naïve é 한국 하",
         "", " ", "\n\n", "<|endoftext|> x<|startoftext|>y", "a'b' 'll I'LL we'Ve ’s", "word_with_underscores 3rd x2 ²³ ½", "🙂🙂 ok🙂.",
@@ -63,8 +63,10 @@ def test_words_are_encoded_as_within_their_text():
         "Ünïcödé ÀÉÎ straße ŒUVRE ǅ ŉ ª1º ¼½ x\tY\nz \xa0 <| a|> don'T 'S", "日本語 ελληνικά русский",
         "Tail, tail. TAIL!? (tail) \"tail\" tail's tail'll tail'",
     ]
-    found = WordIds(PATH)(texts)
-    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [x[:-1] for x in plain_ids(texts)]
+    for kept in (250_000, 3):
+        monkeypatch.setattr("matchledger.llm.packing.KEPT_WORDS", kept)
+        encode = WordIds(PATH)
+        assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == [x[:-1] for x in plain_ids(texts)]
 
 
 def test_plans_hold_everything_and_come_close_to_the_bound():
