@@ -87,15 +87,17 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, swee
     """
     tasks = -(-cells.count() // CELLS_A_TASK)
     few = (lambda df: df.coalesce(1)) if tasks <= 1 else (lambda df: df)
+    hint = "merge" if tasks <= 1 else ""  # within the one partition, rather than by many small broadcasts
     goals = {d: few(scratch.stage(few(t), f"target_{d}")) for d, t in targets.items()}
     weighted = few(cells).withColumn("weight", F.col("tokens").cast("double"))
     for _ in range(sweeps):
         for d, goal in goals.items():
             total = weighted.groupBy(d).agg(F.sum("weight").alias("_total"))
-            factor = _joined(total, goal, [d], "left").select(
+            factor = _joined(total, goal, [d], "left", hint).select(
                 d, F.when(F.col("_total") > 0, F.coalesce("share", F.lit(0.0)) / F.col("_total")).otherwise(0.0).alias("_f")
             )
-            weighted = _joined(weighted, factor, [d]).withColumn("weight", F.col("weight") * F.col("_f")).drop("_f")
+            scaled = _joined(weighted, few(factor), [d], right_hint=hint)
+            weighted = few(scaled.withColumn("weight", F.col("weight") * F.col("_f")).drop("_f"))
         weighted = few(scratch.stage(weighted, "raked"))
     return weighted
 
