@@ -27,9 +27,6 @@ from matchledger.streaming.hourly import keep_current
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The merge queries bring everything from this day on as their new rows.
-MERGED_FROM = "2024-01-15"
-
 
 def cents(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 2) for c in columns or ("revenue",)})
@@ -170,18 +167,23 @@ def _ratios(inputs: DemoInputs) -> DataFrame:
 
 # merges --------------------------------------------------------------------
 
+def _merged_from(events: DataFrame) -> Column:
+    """The merge queries bring everything from this day on as their new rows."""
+    return demo.day_at(events, demo.MERGED_FROM)
+
+
 def _merge_games(events: DataFrame) -> DataFrame:
-    new = games.fct_games_dedup(events).filter(F.col("joined_time") >= F.lit(MERGED_FROM).cast("timestamp_ntz"))
+    new = games.fct_games_dedup(events).filter(F.col("joined_time") >= _merged_from(events).cast("timestamp_ntz"))
     return upsert_frame(games.fct_games_dedup(demo.first_run(events)), new, GAMES.keys)
 
 
 def _merge_rooms(events: DataFrame) -> DataFrame:
-    new = rooms.fct_rooms_dedup(events).filter(F.col("room_open_time") >= F.lit(MERGED_FROM).cast("timestamp_ntz"))
+    new = rooms.fct_rooms_dedup(events).filter(F.col("room_open_time") >= _merged_from(events).cast("timestamp_ntz"))
     return upsert_frame(rooms.fct_rooms_dedup(demo.first_run(events)), new, ROOMS.keys)
 
 
 def _merge_daily(events: DataFrame) -> DataFrame:
-    new = daily.daily_player(events).filter(F.col("date_utc") >= F.lit(MERGED_FROM).cast("date"))
+    new = daily.daily_player(events).filter(F.col("date_utc") >= _merged_from(events))
     return cents(upsert_frame(daily.daily_player(demo.first_run(events)), new, DAILY.keys))
 
 

@@ -5,13 +5,13 @@ FIXTURES.md gives the mapping; `oracle/views.py` states it again in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchledger import schemas
 
-# Rows up to this day are what a first refresh sees.
-FIRST_RUN_UNTIL = "2024-01-20"
+# How far into the days of the log a first refresh sees, and where the merge queries begin.
+FIRST_RUN, MERGED_FROM = (2, 3), (1, 2)
 
 RAW_EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 RAW_SUPPLIER = "s_suppkey BIGINT, s_nationkey INT, s_acctbal DOUBLE"
@@ -140,9 +140,15 @@ def spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def day_at(events: DataFrame, share: tuple[int, int]) -> Column:
+    """The day at a share of the log's days, as an uncorrelated scalar subquery."""
+    first, last = F.min("date_utc"), F.max("date_utc")
+    return events.agg(F.date_add(first, F.floor(F.datediff(last, first) * share[0] / share[1]).cast("int"))).scalar()
+
+
 def first_run(events: DataFrame) -> DataFrame:
     """The part of the log that a first refresh sees."""
-    return events.filter(F.col("date_utc") <= F.lit(FIRST_RUN_UNTIL).cast("date"))
+    return events.filter(F.col("date_utc") <= day_at(events, FIRST_RUN))
 
 
 #: Which raw events come in late: by id, so they are of all times.

@@ -569,19 +569,19 @@ def all_statements() -> dict[str, str]:
         merged("old", "new", MATCH),
         games_dedup("old", "first_run"),
         games_dedup("every"),
-        "new AS (SELECT * FROM every WHERE joined_time >= TIMESTAMP '2024-01-15')",
+        "new AS (SELECT * FROM every WHERE joined_time >= (SELECT merged_from FROM cuts))",
     )
     s["merge_upsert_rooms"] = statement(
         merged("old", "new", ROOM),
         rooms_dedup("old", "first_run"),
         rooms_dedup("every"),
-        "new AS (SELECT * FROM every WHERE room_open_time >= TIMESTAMP '2024-01-15')",
+        "new AS (SELECT * FROM every WHERE room_open_time >= (SELECT merged_from FROM cuts))",
     )
     s["merge_upsert_daily_player"] = statement(
         ROUNDED + f"({merged('old', 'new', 'player_id, date_utc')})",
         daily("old", "first_run"),
         daily("every"),
-        "new AS (SELECT * FROM every WHERE date_utc >= DATE '2024-01-15')",
+        "new AS (SELECT * FROM every WHERE date_utc >= (SELECT merged_from FROM cuts))",
     )
     s["merge_upsert_roas"] = statement(
         merged("old", "new", COHORT),

@@ -74,5 +74,10 @@ marketing_spend AS (
         FROM supplier
     )
 ),
-first_run AS (SELECT * FROM game_events WHERE date_utc <= DATE '2024-01-20')
+cuts AS (
+    SELECT CAST(min(date_utc) + CAST(date_diff('day', min(date_utc), max(date_utc)) * 2 // 3 AS INTEGER) AS DATE) AS first_until,
+           CAST(min(date_utc) + CAST(date_diff('day', min(date_utc), max(date_utc)) // 2 AS INTEGER) AS DATE) AS merged_from
+    FROM game_events
+),
+first_run AS (SELECT * FROM game_events WHERE date_utc <= (SELECT first_until FROM cuts))
 """
