@@ -70,52 +70,61 @@ def _surroundings(hashes: RunHashes, at: np.ndarray, n: int) -> np.ndarray:
 
 
 def suffixes(rows: DataFrame) -> DataFrame:
-    """(prefix, around, _tag, at, n) of each retained suffix; rows: _tag and the text's bytes, _text."""
+    """(_doc, _tag, prefix, around, at, n) of each retained suffix; rows: _doc, _tag and the text's bytes, _text."""
+    whole = F.lit(0).cast("long")
+    out = rows.select("_doc", TAG, whole.alias("prefix"), whole.alias("around"), F.lit(0).alias("at"), F.lit(0).alias("n")).schema
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tags, parts = batch.column(TAG).to_numpy(), []
-            for tag, text in zip(tags, batch.column("_text"), strict=True):
+            parts = []
+            for i, text in enumerate(batch.column("_text")):
                 n, hashes = run_hashes(text.as_py())
                 if hashes:
                     at = minimisers(hashes, n)
                     around = _surroundings(hashes, at, n)
-                    parts.append((hashes(at, at + PREFIX_WORDS), around, np.full(len(at), tag), at, np.full(len(at), n)))
+                    parts.append((np.full(len(at), i), hashes(at, at + PREFIX_WORDS), around, at, np.full(len(at), n)))
             if parts:
-                prefix, around, tag, at, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+                owner, prefix, around, at, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+                owner = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(prefix.view(np.int64)), pa.array(around.view(np.int64)), pa.array(tag),
-                        pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)),
+                        batch.column("_doc").take(owner), batch.column(TAG).take(owner), pa.array(prefix.view(np.int64)),
+                        pa.array(around.view(np.int64)), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)),
                     ],
-                    ["prefix", "around", TAG, "at", "n"],
+                    out.names,
                 )
 
-    return rows.mapInArrow(of_batches, f"prefix long, around long, {TAG} long, at int, n int")
+    return rows.mapInArrow(of_batches, out)
 
 
 def _windows(rows: DataFrame) -> DataFrame:
-    """(window, _tag, at): every window that holds the prefix of a suffix of `ats`; rows: _tag, _text, ats."""
+    """(_doc, _tag, window, at): every window that holds the prefix of a suffix of `ats`; rows: _doc, _tag, _text, ats."""
+    out = rows.select("_doc", TAG, F.lit(0).cast("long").alias("window"), F.lit(0).alias("at")).schema
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c) for c in (TAG, "_text", "ats"))
-            for tag, text, ats in zip(*columns, strict=True):
+            for i, (text, ats) in enumerate(zip(batch.column("_text"), batch.column("ats"), strict=True)):
                 n, hashes = run_hashes(text.as_py())
                 around = np.asarray(ats.as_py())[:, None] - np.arange(LEFT + 1)
                 at = np.unique(around[(around >= 0) & (around <= n - MIN_WORDS)])
                 if len(at):
-                    found = hashes(at, at + MIN_WORDS).view(np.int64)
+                    owner = pa.array(np.full(len(at), i))
+                    found = pa.array(hashes(at, at + MIN_WORDS).view(np.int64))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(found), pa.array(np.full(len(at), tag.as_py())), pa.array(at.astype(np.int32))],
-                        ["window", TAG, "at"],
+                        [batch.column("_doc").take(owner), batch.column(TAG).take(owner), found, pa.array(at.astype(np.int32))],
+                        out.names,
                     )
 
-    return rows.mapInArrow(of_batches, f"window long, {TAG} long, at int")
+    return rows.mapInArrow(of_batches, out)
 
 
 def _place() -> Column:
-    return F.struct(TAG, "at")
+    """Where a suffix or window stands, in the order of doc_id (NULL last), row and word."""
+    return F.struct(F.col("_doc").isNull().alias("no_doc"), "_doc", TAG, "at")
+
+
+def _row_and_word(place: str) -> Column:
+    return F.struct(F.col(f"{place}.{TAG}").alias(TAG), F.col(f"{place}.at").alias("at"))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -152,7 +161,8 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
     classes = scratch.stage(classes, "firsts")
     placed = scratch.stage(
         neighbours.join(classes, "around").select(
-            TAG, "at", "n", "differ", (_place() == F.col("_first")).alias("first"), (F.col("_n") > 1).alias("again")
+            TAG, "at", "n", "differ", (F.struct(TAG, "at") == _row_and_word("_first")).alias("first"),
+            (F.col("_n") > 1).alias("again"),
         ),
         "classes",
     )
@@ -166,7 +176,7 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
     repeated = windows.groupBy("window").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
     repeated = scratch.stage(repeated.filter("_n > 1"), "repeated")
     single = windows.join(repeated, "window").select(
-        TAG, (_place() != F.col("_first")).alias("later"), F.col("at").alias("start"),
+        TAG, (F.struct(TAG, "at") != _row_and_word("_first")).alias("later"), F.col("at").alias("start"),
         (F.col("at") + MIN_WORDS).alias("end"),
     )
     return scratch.stage(whole.union(single), "spans")
@@ -176,13 +186,13 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, start_word, n_words, later): the passages of each document, words counted from 0.
 
     later false: all repeated passages. later true: their parts of which each window
-    has an earlier place (places go by the order of the rows in their table, then
+    has an earlier place (places go by doc_id, NULL last, for equal ids by the row, then
     by the words of a text); without them every passage would stand once.
     Documents without a repeated window have no row; NULL text counts as empty,
     equal rows are documents of their own, ids may be NULL.
     """
     rows = tagged(docs.select("doc_id", utf8("text").alias("_text")), "doc_id", "_text")
-    spans = _spans(rows.select(TAG, "_text"), scratch)
+    spans = _spans(rows.select(F.col("doc_id").alias("_doc"), TAG, "_text"), scratch)
     later = _merged(spans.filter("later")).withColumn("later", F.lit(True))
     return _merged(spans).withColumn("later", F.lit(False)).union(later).join(rows.select(TAG, "doc_id"), TAG).select(
         "doc_id", F.col("start").alias("start_word"), (F.col("end") - F.col("start")).alias("n_words"), "later"
@@ -200,14 +210,14 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def drop_repeats(docs: DataFrame, scratch: Scratch, sizes: dict[str, Column] | None = None) -> DataFrame:
-    """The documents without their repeats; a passage stays where it stands first.
+    """The documents without their repeats; a passage stays in the document of the smallest doc_id.
 
     Documents that had words and have none left go. `sizes` names columns to make
     anew from the shortened text. Other columns, and texts without a repeat, are
     unchanged (NULL stays NULL).
     """
-    rows = tagged(docs.select(utf8("text").alias("_text")), "_text")
-    later = _merged(_spans(rows.select(TAG, "_text"), scratch).filter("later"))
+    rows = tagged(docs.select(F.col("doc_id").alias("_doc"), utf8("text").alias("_text")), "_doc", "_text")
+    later = _merged(_spans(rows, scratch).filter("later"))
     by_row = later.groupBy(TAG).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
     joined = tagged_rows(docs).join(scratch.stage(by_row, "cuts"), TAG, "left").select(ROW, "_cuts")
     names = docs.columns
@@ -233,7 +243,7 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sql() -> str:
-    """All windows, grouped by their words. Rows are taken in the order of doc_id, as the test tables are."""
+    """All windows, grouped by their words."""
     return rf"""WITH docs AS (
     SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS k, regexp_extract_all(coalesce(text, ''), '[^ \t\n\r\f\x0B]+') AS w
     FROM documents

@@ -89,6 +89,13 @@ def test_odd_documents(scratch, documents):
     assert kept == sorted([(1, None), (2, ""), (3, passage), (None, "before after"), (5, "long ")], key=repr)
 
 
+def test_the_smallest_id_keeps_a_passage_wherever_its_row_is(scratch, documents):
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = documents((None, passage), (9, f"nine {passage}"), (2, f"two {passage}"), (5, passage), partitions=1)
+    kept = sorted(((r.doc_id, r.text) for r in drop_repeats(docs, scratch).collect()))
+    assert kept == [(2, f"two {passage}"), (9, "nine ")]
+
+
 def test_empty_table(scratch, documents):
     docs = documents((1, "a")).limit(0)
     assert repeated_passages(docs, scratch).count() == drop_repeats(docs, scratch).count() == 0
