@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,20 +67,53 @@ class Scratch:
 
 
 ROW, TAG = "_row", "_tag"
+#: Bits of a row's place in its file; the bits above number the file.
+FILE_BITS = 40
 
 
 def tagged(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns and `_tag`, a number of the row.
+    """The named columns and `_tag`, a number of the row that tells apart rows equal throughout.
 
-    The number follows from the row's place in its files, so reading a stored
-    table again gives the same one; it tells apart rows that are equal throughout.
+    The number holds for one job: how a scan is split, and with it the number, goes by the cores
+    that are there when it starts. What is read more than once needs `tagged_rows`.
     """
     return df.select(*columns, F.monotonically_increasing_id().alias(TAG))
 
 
-def tagged_rows(df: DataFrame) -> DataFrame:
-    """Whole rows as one struct beside `_tag`, so that no column name can clash."""
-    return df.select(F.struct("*").alias(ROW), F.monotonically_increasing_id().alias(TAG))
+def _is_scan(df: DataFrame) -> bool:
+    """Whether each row of `df` is one row of its files: a scan, and columns or filters over it."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
+def _by_place(df: DataFrame) -> DataFrame | None:
+    """Whole rows with their `_file` and their place `_at` in it, None where files do not tell."""
+    if not _is_scan(df):
+        return None
+    place = df.metadataColumn("_metadata")
+    try:
+        return df.select(
+            F.struct("*").alias(ROW), place.getField("file_path").alias("_file"), place.getField("row_index").alias("_at")
+        )
+    except AnalysisException:  # a format that does not number its rows
+        return None
+
+
+def tagged_rows(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """Whole rows as one struct beside `_tag`, so that no column name can clash.
+
+    Any later job that reads the result again gets the same numbers, however it splits the
+    files: of a stored table, a row's number is made from its file's place among the sorted
+    paths and its own place in the file; anything else is staged once with its numbers.
+    """
+    rows = _by_place(df)
+    if rows is None:
+        return scratch.stage(df.select(F.struct("*").alias(ROW), F.monotonically_increasing_id().alias(TAG)), "rows")
+    paths = sorted(r[0] for r in rows.select("_file").distinct().collect())
+    files = scratch.spark.createDataFrame(list(enumerate(paths)), "_k long, _file string")
+    return rows.join(F.broadcast(files), "_file").select(ROW, F.shiftleft("_k", FILE_BITS).bitwiseOR(F.col("_at")).alias(TAG))
 
 
 def utf8(column: str):

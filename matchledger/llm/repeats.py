@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from matchledger.llm.common import ROW, TAG, RunHashes, Scratch, mixed, table, tagged, tagged_rows, utf8
+from matchledger.llm.common import ROW, TAG, RunHashes, Scratch, mixed, table, tagged_rows, utf8
 
 MIN_WORDS = 50
 GRAM_WORDS = 8
@@ -141,6 +141,11 @@ def _merged(spans: DataFrame) -> DataFrame:
     )
 
 
+def _texts(rows: DataFrame) -> DataFrame:
+    """(_doc, _tag, _text) of tagged rows."""
+    return rows.select(F.col(f"{ROW}.doc_id").alias("_doc"), TAG, utf8(f"{ROW}.text").alias("_text"))
+
+
 def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """(_tag, later, start, end) of repeated windows of tagged texts, not yet merged.
 
@@ -191,11 +196,11 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     Documents without a repeated window have no row; NULL text counts as empty,
     equal rows are documents of their own, ids may be NULL.
     """
-    rows = tagged(docs.select("doc_id", utf8("text").alias("_text")), "doc_id", "_text")
-    spans = _spans(rows.select(F.col("doc_id").alias("_doc"), TAG, "_text"), scratch)
+    rows = _texts(tagged_rows(docs.select("doc_id", "text"), scratch))
+    spans = _spans(rows, scratch)
     later = _merged(spans.filter("later")).withColumn("later", F.lit(True))
-    return _merged(spans).withColumn("later", F.lit(False)).union(later).join(rows.select(TAG, "doc_id"), TAG).select(
-        "doc_id", F.col("start").alias("start_word"), (F.col("end") - F.col("start")).alias("n_words"), "later"
+    return _merged(spans).withColumn("later", F.lit(False)).union(later).join(rows.select(TAG, "_doc"), TAG).select(
+        F.col("_doc").alias("doc_id"), F.col("start").alias("start_word"), (F.col("end") - F.col("start")).alias("n_words"), "later"
     )
 
 
@@ -216,10 +221,10 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, sizes: dict[str, Column] | N
     anew from the shortened text. Other columns, and texts without a repeat, are
     unchanged (NULL stays NULL).
     """
-    rows = tagged(docs.select(F.col("doc_id").alias("_doc"), utf8("text").alias("_text")), "_doc", "_text")
-    later = _merged(_spans(rows, scratch).filter("later"))
+    rows = tagged_rows(docs, scratch)
+    later = _merged(_spans(_texts(rows), scratch).filter("later"))
     by_row = later.groupBy(TAG).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
-    joined = tagged_rows(docs).join(scratch.stage(by_row, "cuts"), TAG, "left").select(ROW, "_cuts")
+    joined = rows.join(scratch.stage(by_row, "cuts"), TAG, "left").select(ROW, "_cuts")
     names = docs.columns
     at = names.index("text")
 

@@ -65,9 +65,8 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int((_PLACES * (2 * ones > len(hashes))).sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, _tag, fp): the fingerprint of every document, as a signed long."""
-    rows = tagged(docs.select("doc_id", utf8("text").alias("_text")), "doc_id", "_text")
+def fingerprints(rows: DataFrame, words_each: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, _tag, fp): the fingerprint of every document, as a signed long; rows: doc_id, _tag, _text."""
     out = rows.select("doc_id", TAG, F.lit(0).cast("long").alias("fp")).schema
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +198,7 @@ def fingerprint_links(nodes: DataFrame, scratch: Scratch, most: int = MAX_BITS,
 def near_duplicate_groups(
     docs: DataFrame, scratch: Scratch, words_each: int = SHINGLE_WORDS, most: int = MAX_BITS, hot_key: int = HOT_KEY
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, _tag, fp) of all documents, and (fp, component_id, first_tag) of all fingerprints.
+    """(doc_id, _tag, fp) of all documents, tagged in one job, and (fp, component_id, first_tag) of all fingerprints.
 
     component_id is the smallest doc_id of the group, first_tag the row to keep:
     that of the smallest doc_id, and the first such row in the table. NULL text
@@ -207,7 +206,15 @@ def near_duplicate_groups(
     any other. Rows with a NULL doc_id take part but come after all others; a group
     of them alone has a NULL component_id. Equal rows are documents of their own.
     """
-    marked = scratch.stage(fingerprints(docs, words_each), "fingerprints")
+    rows = tagged(docs.select("doc_id", utf8("text").alias("_text")), "doc_id", "_text")
+    return _groups(rows, scratch, words_each, most, hot_key)
+
+
+def _groups(
+    rows: DataFrame, scratch: Scratch, words_each: int = SHINGLE_WORDS, most: int = MAX_BITS, hot_key: int = HOT_KEY
+) -> tuple[DataFrame, DataFrame]:
+    """See near_duplicate_groups; rows: doc_id, _tag, _text."""
+    marked = scratch.stage(fingerprints(rows, words_each), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col(TAG).alias("t"))
     nodes = scratch.stage(marked.groupBy("fp").agg(F.min(order).alias("first")), "nodes")
     roots = connected_components(fingerprint_links(nodes.select("fp"), scratch, most, hot_key), scratch)
@@ -223,9 +230,11 @@ def near_duplicate_groups(
 
 def drop_near_duplicates(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """The first document of each group (see near_duplicate_groups), all columns unchanged."""
-    marked, groups = near_duplicate_groups(docs, scratch, **options)
+    rows = tagged_rows(docs, scratch)
+    texts = rows.select(f"{ROW}.doc_id", TAG, utf8(f"{ROW}.text").alias("_text"))
+    marked, groups = _groups(texts, scratch, **options)
     others = marked.join(groups, "fp").filter(F.col(TAG) != F.col("first_tag")).select(TAG)
-    return tagged_rows(docs).join(scratch.stage(others, "others"), TAG, "left_anti").select(f"{ROW}.*")
+    return rows.join(scratch.stage(others, "others"), TAG, "left_anti").select(f"{ROW}.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

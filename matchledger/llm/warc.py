@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchledger.llm.common import TAG, Scratch, table, utf8
+from matchledger.llm.common import ROW, TAG, Scratch, table, tagged_rows, utf8
 
 REVISIT_FROM_BYTES = 100
 CHUNK = 1 << 20
@@ -148,9 +148,8 @@ def typed_pages(pages: DataFrame, scratch: Scratch) -> DataFrame:
     NULL page_id comes last. Only digests and ids are grouped, so a payload that
     very many pages share is combined before the shuffle.
     """
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), "url", utf8("html").alias("_payload"),
-        F.monotonically_increasing_id().alias(TAG),
+    rows = tagged_rows(pages.select("page_id", "url", "html"), scratch).select(
+        F.col(f"{ROW}.page_id").cast("long").alias("page_id"), f"{ROW}.url", utf8(f"{ROW}.html").alias("_payload"), TAG
     ).withColumn("_digest", F.when(F.length("_payload") >= REVISIT_FROM_BYTES, F.sha2("_payload", 256)))
     order = F.struct(F.col("page_id").isNull().alias("n"), F.col("page_id").alias("id"), F.col(TAG).alias("t"))
     repeated = (

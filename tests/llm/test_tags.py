@@ -1,0 +1,83 @@
+"""Numbers of rows stay the same when a table is read again with its files split otherwise."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from matchledger.llm import warc
+from matchledger.llm.common import ROW, TAG, tagged_rows
+from matchledger.llm.repeats import drop_repeats, repeated_passages
+from matchledger.llm.simhash import drop_near_duplicates
+
+SPLITS = ("spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes", "parquet.block.size")
+
+
+@pytest.fixture()
+def resplit(spark):
+    """Has every staged table change how later scans are split, as if cores came or went between two jobs."""
+    import matchledger.llm.common as common
+
+    stage, jobs = common.Scratch.stage, []
+
+    def split():
+        jobs.append(None)
+        spark.conf.set(SPLITS[0], str((1, 64, 7)[len(jobs) % 3]))
+        spark.conf.set(SPLITS[1], ("64m", "2k", "16k")[len(jobs) % 3])
+
+    def staged(self, df, label):
+        out = stage(self, df, label)
+        split()
+        return out
+
+    patch = pytest.MonkeyPatch()
+    patch.setattr(common.Scratch, "stage", staged)
+    yield split
+    patch.undo()
+    for name in SPLITS[:2]:
+        spark.conf.unset(name)
+
+
+def stored(spark, df, folder):
+    """Several files of many small row groups, so that splits cut them at other places."""
+    df.repartition(3, "doc_id").write.option(SPLITS[2], "1024").parquet(f"{folder}/docs")
+    return spark.read.parquet(f"{folder}/docs")
+
+
+def texts(n: int = 300):
+    passage = " ".join(f"p{i}" for i in range(60))
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    return [(k, f"{words(k)} {passage}" if k % 10 == 0 else words(k - k % 2)) for k in range(n)]
+
+
+def test_numbers_stay_and_differ(spark, scratch, resplit, documents, tmp_path):
+    docs = stored(spark, documents(*texts()), tmp_path)
+    for source in (docs, docs.filter("doc_id < 200"), documents(*texts()), docs.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))):
+        rows = tagged_rows(source, scratch)
+        found = []
+        for _ in range(3):
+            found.append({r[TAG]: r.doc_id for r in rows.select(TAG, f"{ROW}.doc_id").collect()})
+            resplit()
+        assert found[0] == found[1] == found[2]
+        assert len(found[0]) == source.count()
+
+
+def test_stages_keep_the_right_rows(spark, scratch, resplit, documents, tmp_path):
+    docs = stored(spark, documents(*texts()), tmp_path)
+    plain = dict(texts())
+    kept = {r.doc_id: r.text for r in drop_near_duplicates(docs, scratch).collect()}
+    first = {text: k for k, text in reversed(plain.items())}
+    assert set(first.values()) <= set(kept) | {k for k in plain if k % 10 == 0} and all(first[t] == k for k, t in kept.items())
+
+    cut = {r.doc_id: r.text for r in drop_repeats(docs, scratch).collect()}
+    assert cut == {k: t.split(" p0 ")[0] + (" " if k else "") if k % 10 == 0 and k else t for k, t in plain.items()}
+    passages = {(r.doc_id, r.start_word, r.n_words, r.later) for r in repeated_passages(docs, scratch).collect()}
+    assert passages == {(k, 30, 60, later) for k in plain if k % 10 == 0 for later in {False, k > 0}}
+
+
+def test_revisits_are_of_the_right_pages(spark, scratch, resplit, documents, tmp_path):
+    docs = stored(spark, documents(*texts()), tmp_path)
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    found = {(r.page_id, r.refers_to, r.revisit) for r in warc.typed_pages(pages, scratch).collect()}
+    first = {}
+    for k, text in texts():
+        first.setdefault(text, k)
+    assert found == {(k, first[t] if first[t] != k else None, first[t] != k) for k, t in texts()}
