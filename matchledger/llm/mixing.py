@@ -2,7 +2,7 @@
 
 The corpus is summed up to cells: tokens by source, language and topic. Cell
 weights are raked: scaled to the target shares of one dimension after the other,
-again and again, until all marginals hold. A cell's rate is its raked share over its share of
+again and again, until all marginals hold within `TOLERANCE`. A cell's rate is its raked share over its share of
 the tokens, and a document stays with a probability in proportion to its cell's
 rate, the largest of which is 1. So the kept tokens have the target marginals in
 expectation, and each document's draw depends on its id and the seed alone.
@@ -14,6 +14,7 @@ rates are joined like any table.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,12 @@ from pyspark.sql import functions as F
 
 from matchledger.llm.common import ROW, Scratch, table
 
+#: Sweeps that are always made; more follow until no marginal is off by more than TOLERANCE.
 SWEEPS = 8
+TOLERANCE = 1e-4
+#: No more sweeps than these, nor after one that leaves the error as it was, but for STALLED of it; small cells may take long to grow.
+MOST_SWEEPS = 200
+STALLED = 1e-9
 SEED = "mix-1"
 BROADCAST_CELLS = 100_000
 CELLS_A_TASK = 50_000
@@ -79,9 +85,20 @@ def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner"
     return left.join(renamed, same, how).drop(*[f"_r_{d}" for d in on])
 
 
+def _marginal_error(weighted: DataFrame, goals: dict[str, DataFrame], hint: str) -> float:
+    """By how much the weight of a category is off its target, at most."""
+    off = []
+    for d, goal in goals.items():
+        total = weighted.groupBy(d).agg(F.sum("weight").alias("_total"))
+        off.append(_joined(goal, total, [d], "left", hint).select(F.abs(F.coalesce("_total", F.lit(0.0)) - F.col("share")).alias("_off")))
+    return reduce(DataFrame.union, off).agg(F.max("_off")).first()[0] or 0.0
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, sweeps: int = SWEEPS) -> DataFrame:
     """The cells with their raked `weight`, which add up to 1 and have the targets as marginals.
 
+    `sweeps` are made at least, and more until all marginals hold within TOLERANCE. Targets that
+    contradict each other on the cells there are cannot be met: a warning gives the error that is left.
     A category without a target, and a cell without tokens, gets weight 0. Few cells
     stay in one partition, where no step needs a shuffle.
     """
@@ -90,7 +107,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, swee
     hint = "merge" if tasks <= 1 else ""  # within the one partition, rather than by many small broadcasts
     goals = {d: few(scratch.stage(few(t), f"target_{d}")) for d, t in targets.items()}
     weighted = few(cells).withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(sweeps):
+    made, error, before = 0, float("inf"), float("inf")
+    while made < sweeps or (error > TOLERANCE and made < MOST_SWEEPS and error < before * (1 - STALLED)):
         for d, goal in goals.items():
             total = weighted.groupBy(d).agg(F.sum("weight").alias("_total"))
             factor = _joined(total, goal, [d], "left", hint).select(
@@ -99,6 +117,11 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, swee
             scaled = _joined(weighted, few(factor), [d], right_hint=hint)
             weighted = few(scaled.withColumn("weight", F.col("weight") * F.col("_f")).drop("_f"))
         weighted = few(scratch.stage(weighted, "raked"))
+        made += 1
+        if made >= sweeps:
+            error, before = _marginal_error(weighted, goals, hint), error
+    if TOLERANCE < error < float("inf"):
+        warnings.warn(f"after {made} sweeps a marginal is still off its target by {error:.6f}", RuntimeWarning, stacklevel=2)
     return weighted
 
 

@@ -1,3 +1,4 @@
+import warnings
 from collections import defaultdict
 
 import pytest
@@ -89,3 +90,32 @@ def test_a_category_without_target_gets_no_weight(spark, scratch, documents):
     by = {"lang": F.col("lang")}
     targets = {"lang": spark.createDataFrame([("fr", 1.0)], "lang string, share double")}
     assert {r.lang for r in mixing.mix(docs, scratch, by, targets).select("lang").collect()} == {"fr"}
+
+
+def tied(spark, *cells):
+    """Cells of sources tied to languages, of one topic, and their tempered targets."""
+    found = spark.createDataFrame([(*c, "prose") for c in cells], "source string, lang string, tokens long, topic string")
+    return found, {d: mixing.tempered_targets(found, d, power) for d, power in mixing.TEMPER.items() if d != "topic"}
+
+
+def worst(raked, targets):
+    rows, off = raked.collect(), 0
+    for d, target in targets.items():
+        for t in target.collect():
+            off = max(off, abs(sum(r.weight for r in rows if r[d] == t[d]) - t.share))
+    return off
+
+
+def test_sources_tied_to_languages_are_raked_until_marginals_hold(spark, scratch):
+    cells, targets = tied(spark, ("a", "en", 1_000_000), ("a", "fr", 100), ("b", "fr", 10_000), ("c", "fr", 10_000), ("c", "en", 10))
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        raked = mixing.rake(cells, targets, scratch)
+    assert worst(raked, targets) <= mixing.TOLERANCE
+
+
+def test_targets_that_contradict_each_other_are_reported(spark, scratch):
+    cells, targets = tied(spark, ("a", "en", 1_000_000), ("b", "fr", 10_000), ("c", "fr", 10_000))
+    with pytest.warns(RuntimeWarning, match="off its target by 0.0"):
+        raked = mixing.rake(cells, targets, scratch)
+    assert worst(raked, targets) > mixing.TOLERANCE
