@@ -15,15 +15,20 @@ from pyspark.sql import functions as F
 from matchledger.llm import language, mixing, packing, repeats, simhash
 from matchledger.llm.common import ROW, Scratch, prepare, table
 
-#: At 0 only texts without a letter go; a short clean text may be close to no language.
+#: Asked of every text; a short clean one may be close to no language, so what else is asked goes by the
+#: size of a text (see language.least_cosines).
 MIN_LANGUAGE_SCORE = 0.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language learned from the labelled ones; texts without letters go."""
+    """Documents in a language learned from the labelled ones.
+
+    Texts without letters go, and those less close to their language than its held-out texts of that size are.
+    """
     prepare(spark)
     learned = language.prototypes(docs.filter(~language.held_out()))
-    return language.drop_undetermined(docs, *learned, MIN_LANGUAGE_SCORE)
+    least = language.least_cosines(docs.filter(language.held_out()), *learned)
+    return language.drop_undetermined(docs, *learned, MIN_LANGUAGE_SCORE, least=least)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,15 @@ UNDETERMINED = "und"
 MAX_LANGUAGES = 2_000
 KEPT_VECTORS = 50_000
 EDGE = 32
+#: A text is taken for none of the languages if its cosine is under LEAST of what all but LOW of
+#: the language's unseen texts of its size reach. Where fewer than ENOUGH such texts have a size, the
+#: next smaller size's bound holds, as cosines grow with the size; without one none is, nor a text of under SHORT different n-grams, which a clean text may well share with nothing learned.
+LEAST = 0.4
+LOW = 0.01
+ENOUGH = 30
+SHORT = 64
+#: No text has 2 ** LARGEST n-grams.
+LARGEST = 32
 _BLOCK = 4_096
 _CODE_BITS = np.uint64(21)
 
@@ -221,15 +230,58 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def drop_undetermined(docs: DataFrame, languages: list[str], profiles: np.ndarray, min_score: float, n: int = GRAM) -> DataFrame:
-    """The documents with a language and a cosine of at least min_score, all columns unchanged."""
+def _size(text: str | None, n: int) -> int:
+    """The binary order of a text's number of different n-grams, as a repeated word tells no more than one."""
+    return len(gram_counts(text, n)[0]).bit_length()
+
+
+def least_cosines(
+    unseen: DataFrame, languages: list[str], profiles: np.ndarray, n: int = GRAM, enough: int = ENOUGH
+) -> dict[tuple[str, int], float]:
+    """The cosine that a text needs, by the predicted language and the order of its number of different n-grams.
+
+    unseen: labelled rows of (text, lang) that were not learned from. Only those that
+    are taken for their own language count; a size with few of them has the bound of
+    the next smaller one, or none, so what nothing is known about stays. The driver gets a number for each language and size.
+    """
+    sent = unseen.sparkSession.sparkContext.broadcast((languages, profiles))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            found, scores = predict(texts, *sent.value, n)
+            own = pa.array([f == lang for f, lang in zip(found, batch.column("lang").to_pylist(), strict=True)], pa.bool_())
+            sizes = pa.array([_size(t, n) for t in texts], pa.int32())
+            columns = [pa.array(found, pa.string()), sizes, pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "score"]).filter(own)
+
+    rows = unseen.filter(F.col("lang").isNotNull()).select("text", "lang")
+    by_size = rows.mapInArrow(scored, "lang string, size int, score double").groupBy("lang", "size")
+    low = by_size.agg(F.percentile_approx("score", LOW, 10_000).alias("low"), F.count(F.lit(1)).alias("_n"))
+    known = low.filter((F.col("_n") >= enough) & (F.col("size") >= SHORT.bit_length())).orderBy("size").collect()
+    return {(r["lang"], size): LEAST * r["low"] for r in known for size in range(r["size"], LARGEST + 1)}
+
+
+def drop_undetermined(
+    docs: DataFrame, languages: list[str], profiles: np.ndarray, min_score: float, n: int = GRAM,
+    least: dict[tuple[str, int], float] | None = None,
+) -> DataFrame:
+    """The documents with a language and a cosine of at least min_score, all columns unchanged.
+
+    least: more that is asked of the cosine (see least_cosines).
+    """
     sent = docs.sparkSession.sparkContext.broadcast((languages, profiles))
+    bounds = least or {}
     at = docs.columns.index("text")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, scores = predict(batch.column(at).to_pylist(), *sent.value, n)
-            keep = [f != UNDETERMINED and s >= min_score for f, s in zip(found, scores, strict=True)]
+            texts = batch.column(at).to_pylist()
+            found, scores = predict(texts, *sent.value, n)
+            keep = [
+                f != UNDETERMINED and s >= min_score and (not bounds or s >= bounds.get((f, _size(t, n)), 0.0))
+                for t, f, s in zip(texts, found, scores, strict=True)
+            ]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(of_batches, docs.schema)
