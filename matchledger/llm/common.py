@@ -45,13 +45,22 @@ class Scratch:
     """Tables staged in the folder that all executors share.
 
     A staged table is computed once, has a known size, and cuts the lineage: a
-    lost executor costs only the tasks it ran. Results that are read lazily from
-    a scratch need it until they have been written; `drop()` removes it then.
+    lost executor costs only the tasks it ran. `release` removes a table once its last
+    reader has been staged itself. Results that are read lazily need the rest until they
+    have been written; `drop` removes it then, and the end of the application does at last.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = prepare(spark)
         self.folder = f"{shared_folder(spark)}/matchledger_llm_{uuid.uuid4().hex[:12]}"
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+        files, folder = self._files(self.folder)
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+
+    def _files(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def path(self, label: str) -> str:
         return f"{self.folder}/{label}_{uuid.uuid4().hex[:8]}"
@@ -59,11 +68,22 @@ class Scratch:
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         path = self.path(label)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(staged)] = (staged, path)
+        return staged
+
+    def release(self, *staged: DataFrame) -> None:
+        """Remove staged tables that nothing will read again; other frames are left alone."""
+        for df in staged:
+            _, path = self._paths.pop(id(df), (None, None))
+            if path:
+                files, place = self._files(path)
+                files.delete(place, True)
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        files, folder = self._files(self.folder)
+        files.delete(folder, True)
+        self._paths.clear()
 
 
 ROW, TAG = "_row", "_tag"

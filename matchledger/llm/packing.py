@@ -103,7 +103,9 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def cut_documents(docs: DataFrame, vocabulary: str | None = None, length: int = SEQUENCE) -> DataFrame:
+def cut_documents(
+    docs: DataFrame, vocabulary: str | None = None, length: int = SEQUENCE, end_id: int = END_ID
+) -> DataFrame:
     """(doc_id, _tag, start, length, ids, doc_tokens): each document's ids and a closing one, cut into pieces.
 
     ids: little-endian 32-bit numbers. NULL text counts as empty, so every row has
@@ -115,7 +117,7 @@ def cut_documents(docs: DataFrame, vocabulary: str | None = None, length: int =
         "doc_id", TAG, F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("length"),
         F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("doc_tokens"),
     ).schema
-    end = np.array([END_ID], "<u4").tobytes()
+    end = np.array([end_id], "<u4").tobytes()
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(path)

@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from matchledger.llm.bestfit import op12_best_fit
+from matchledger.llm.collocations import op11_collocations, op11_sql
 from matchledger.llm.html_text import op1_html_text
 from matchledger.llm.language import op8_language
 from matchledger.llm.licenses import op5_licenses, op5_sql
 from matchledger.llm.mixing import op7_mixing, op7_sql
 from matchledger.llm.nearest import op3_nearest, op3_sql
 from matchledger.llm.packing import op2_packing
+from matchledger.llm.repair import op13_repair, op13_sql
 from matchledger.llm.repeats import op4_repeats, op4_sql
 from matchledger.llm.simhash import op9_simhash
 from matchledger.llm.topk import op10_sql, op10_topk
@@ -32,6 +35,9 @@ def llm_queries() -> dict[str, Query]:
         "op8_language": op8_language,
         "op9_simhash": op9_simhash,
         "op10_topk": op10_topk,
+        "op11_collocations": op11_collocations,
+        "op12_best_fit": op12_best_fit,
+        "op13_repair": op13_repair,
     }
 
 
@@ -43,4 +49,6 @@ def llm_statements() -> dict[str, str]:
         "op6_warc": op6_sql(),
         "op7_mixing": op7_sql(),
         "op10_topk": op10_sql(),
+        "op11_collocations": op11_sql(),
+        "op13_repair": op13_sql(),
     }

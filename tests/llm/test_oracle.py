@@ -23,5 +23,5 @@ def test_query_agrees_with_sql(name, spark, duck):
     assert rows == expected
 
 
-def test_names_are_numbered_one_to_ten():
-    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+def test_names_are_numbered_one_to_thirteen():
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 14))
