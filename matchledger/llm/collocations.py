@@ -41,9 +41,9 @@ UNKNOWN = "und"
 #: Each shard is mined at about MIN_COUNT / SHARDS, at every size of the corpus.
 SHARDS = 6
 #: Bytes of text that a task works on at once; a longer text is worked on alone.
-CHUNK_BYTES = 24_000_000
+CHUNK_BYTES = 8_000_000
 #: Keys of one range of one shard, about.
-RANGE_KEYS = 4_000_000
+RANGE_KEYS = 1_000_000
 KEY_BITS = 48
 #: Bits of the bitmap for each phrase frequent in a shard, and the most bits it may have (32 MB).
 BITS_EACH, MOST_BITS = 64, 2**28
@@ -60,14 +60,19 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 # words and keys ----------------------------------------------------------------
 
 
+def split_words(texts: list[bytes]) -> list[bytes]:
+    """The words of some texts in order, a full stop where a piece ends."""
+    return _END.join(texts).translate(_PLAIN).replace(_END, b" . ").split()
+
+
 class Words:
-    """The words of some texts of one language, in order, with ends of pieces between them.
+    """Words of one language, as `split_words` has them.
 
     `codes` numbers the distinct words from 1; 0 is the end of a piece.
     """
 
-    def __init__(self, texts: list[bytes], lang: str):
-        self.tokens = _END.join(texts).translate(_PLAIN).replace(_END, b" . ").split()
+    def __init__(self, tokens: list[bytes], lang: str):
+        self.tokens = tokens
         codes: defaultdict[bytes, int] = defaultdict()
         codes.default_factory = codes.__len__
         codes[_END]
@@ -150,15 +155,14 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], by_shard: bool) -> Iterator[dict[tuple[str, int], list[bytes]]]:
-    """Texts by language and shard (or all as shard 0), some `CHUNK_BYTES` at a time."""
-    texts: dict[tuple[str, int], list[bytes]] = {}
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, dict[int, list[bytes]]]]:
+    """Texts by language and shard, some `CHUNK_BYTES` at a time."""
+    texts: dict[str, dict[int, list[bytes]]] = {}
     size = 0
     for batch in batches:
-        shards = batch.column("_shard").to_pylist() if by_shard else [0] * batch.num_rows
-        for lang, shard, text in zip(batch.column("_lang").to_pylist(), shards, batch.column("_text"), strict=True):
+        for lang, shard, text in zip(batch.column("_lang").to_pylist(), batch.column("_shard").to_pylist(), batch.column("_text"), strict=True):
             text = text.as_py()
-            texts.setdefault((lang, shard), []).append(text)
+            texts.setdefault(lang, {}).setdefault(shard, []).append(text)
             size += len(text)
             if size >= CHUNK_BYTES:
                 yield texts
@@ -168,15 +172,23 @@ def _chunks(batches: Iterator[pa.RecordBatch], by_shard: bool) -> Iterator[dict[
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(lang, shard, word, n): the words of each chunk of a task with their occurrences there."""
+    """(lang, shard, word, n): the words of each chunk of a task with their occurrences there (no shard), and all of a shard (no word)."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, by_shard=True):
-            for (lang, shard), of_lang in chunk.items():
-                words = Words(of_lang, lang)
-                named = pa.array([w.decode() for w in words.distinct[1:]], pa.string())
+        for chunk in _chunks(batches):
+            for lang, shards in chunk.items():
+                tokens, totals = [], []
+                for of_shard in shards.values():
+                    part = split_words(of_shard)
+                    totals.append(len(part) - part.count(_END))
+                    tokens += [_END, *part]
+                words = Words(tokens, lang)
+                named, shard = [w.decode() for w in words.distinct[1:]], list(shards)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(named), pa.string()), pa.array([shard] * len(named), pa.int32()), named, pa.array(words.counts(), pa.int64())],
+                    [
+                        pa.array([lang] * (len(named) + len(shard)), pa.string()), pa.array([None] * len(named) + shard, pa.int32()),
+                        pa.array(named + [None] * len(shard), pa.string()), pa.array([*words.counts().tolist(), *totals], pa.int64()),
+                    ],
                     ["lang", "shard", "word", "n"],
                 )
 
@@ -188,9 +200,9 @@ def _runs(texts: DataFrame, range_bits: int) -> DataFrame:
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.arange(1, 1 << range_bits, dtype=np.uint64) << np.uint64(KEY_BITS - range_bits)
-        for chunk in _chunks(batches, by_shard=True):
-            for (lang, shard), of_lang in chunk.items():
-                found = [key[whole] for _, key, whole in Words(of_lang, lang).keys()]
+        for chunk in _chunks(batches):
+            for lang, shard, of_shard in ((lang, *part) for lang, shards in chunk.items() for part in shards.items()):
+                found = [key[whole] for _, key, whole in Words(split_words(of_shard), lang).keys()]
                 keys, counts = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64),) * 2
                 cuts = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
                 parts = [(r, a, b) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
@@ -250,9 +262,10 @@ def counted_phrases(texts: DataFrame, bitmap: np.ndarray, mask: np.uint64) -> Da
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, by_shard=False):
-            for (lang, _), of_lang in chunk.items():
-                for size, phrases, times in Words(of_lang, lang).phrases(shared.value, mask):
+        for chunk in _chunks(batches):
+            for lang, shards in chunk.items():
+                tokens = split_words([text for of_shard in shards.values() for text in of_shard])
+                for size, phrases, times in Words(tokens, lang).phrases(shared.value, mask):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array([size] * len(phrases), pa.int32()), pa.array(times, pa.int64())],
                         ["lang", "phrase", "words", "a"],
@@ -310,10 +323,10 @@ def collocations(docs: DataFrame, scratch: Scratch, kept: int = KEPT) -> DataFra
     """
     texts = _texts(docs)
     of_words = scratch.stage(word_counts(texts), "words")
-    words = scratch.stage(of_words.groupBy("lang", "shard").agg(F.sum("n").alias("n")), "shards")
+    words = scratch.stage(of_words.filter("word IS NULL").groupBy("lang", "shard").agg(F.sum("n").alias("n")), "shards")
     keys = scratch.stage(locally_frequent(texts, words), "frequent")
     phrases = scratch.stage(counted_phrases(texts, *key_bitmap(keys)), "phrases")
-    single = of_words.groupBy("lang", F.col("word").alias("phrase")).agg(F.sum("n").alias("a"))
+    single = of_words.filter("word IS NOT NULL").groupBy("lang", F.col("word").alias("phrase")).agg(F.sum("n").alias("a"))
     counts = scratch.stage(
         single.filter(F.col("a") >= MIN_COUNT).union(phrases.select("lang", "phrase", "a")), "counts"
     )

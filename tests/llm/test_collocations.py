@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from matchledger.llm import collocations as op
-from matchledger.llm.collocations import Words, collocations, packed_run, unpacked_run
+from matchledger.llm.collocations import Words, collocations, packed_run, split_words, unpacked_run
 
 
 def plain_collocations(rows, least: int, kept: int = 2_000):
@@ -103,7 +103,8 @@ def test_runs_of_keys_come_back():
 
 
 def test_words_of_empty_texts():
-    assert Words([b"", b" . "], "en").distinct == [b"."]
+    assert Words(split_words([b"", b" . "]), "en").distinct == [b"."]
+    assert split_words([b"Big\tTOP", b"\xc3\x89t\xc3\xa9!x"]) == [b"big", b"top", b".", b"\xc3\x89t\xc3\xa9", b".", b"x"]
     assert list(Words([], "en").keys()) == []
 
 
