@@ -73,12 +73,16 @@ class Scratch:
         return staged
 
     def release(self, *staged: DataFrame) -> None:
-        """Remove staged tables that nothing will read again; other frames are left alone."""
+        """Remove staged tables that nothing will read again; other frames are left alone.
+
+        What Spark shuffled for them goes when the driver's JVM collects garbage, which it is asked to do.
+        """
         for df in staged:
             _, path = self._paths.pop(id(df), (None, None))
             if path:
                 files, place = self._files(path)
                 files.delete(place, True)
+        self.spark._jvm.System.gc()
 
     def drop(self) -> None:
         files, folder = self._files(self.folder)
@@ -89,6 +93,8 @@ class Scratch:
 ROW, TAG = "_row", "_tag"
 #: Bits of a row's place in its file; the bits above number the file.
 FILE_BITS = 40
+#: Names of more files than these are not sent to every task.
+BROADCAST_FILES = 50_000
 
 
 def tagged(df: DataFrame, *columns: str) -> DataFrame:
@@ -133,7 +139,9 @@ def tagged_rows(df: DataFrame, scratch: Scratch) -> DataFrame:
         return scratch.stage(df.select(F.struct("*").alias(ROW), F.monotonically_increasing_id().alias(TAG)), "rows")
     paths = sorted(r[0] for r in rows.select("_file").distinct().collect())
     files = scratch.spark.createDataFrame(list(enumerate(paths)), "_k long, _file string")
-    return rows.join(F.broadcast(files), "_file").select(ROW, F.shiftleft("_k", FILE_BITS).bitwiseOR(F.col("_at")).alias(TAG))
+    if len(paths) <= BROADCAST_FILES:
+        files = F.broadcast(files)
+    return rows.join(files, "_file").select(ROW, F.shiftleft("_k", FILE_BITS).bitwiseOR(F.col("_at")).alias(TAG))
 
 
 def utf8(column: str):

@@ -283,7 +283,11 @@ def pack(docs: DataFrame, scratch: Scratch, vocabulary: str | None = None, with_
     cut = cut_documents(docs, vocabulary).withColumn("ids_crc32", F.crc32("ids"))
     pieces = scratch.stage(cut if with_ids else cut.drop("ids"), "pieces")
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    return assign_sequences(pieces, scratch).select(*columns, *["ids"] * with_ids)
+    if not with_ids:
+        return assign_sequences(pieces, scratch).select(*columns)
+    # Ids are heavy: they are moved once, in the end, and to where the places of their pieces are known.
+    placed = scratch.stage(assign_sequences(pieces.select(TAG, "start", "length"), scratch), "placed")
+    return pieces.join(placed.drop("length"), [TAG, "start"]).select(*columns, "ids")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

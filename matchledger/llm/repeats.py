@@ -7,10 +7,11 @@ windows cover. Words are what ASCII blanks part, compared byte by byte.
 Retained are the suffixes that start at minimisers: in every 30 consecutive
 8-word grams, the leftmost with the smallest hash. Any window of 50 words has
 one at most 29 words from its start, so at least 21 of its words follow it, and
-equal windows have it at the same offset. Sorted by their first 21 words (by a hash
-of them, all that is asked being which are equal), suffixes that a repeated window
-shares are neighbours. Neighbours are then extended, left by up to 29 words and
-right to 50:
+equal windows have it at the same offset. Grouped by a hash of their first 21 words,
+in place of a sort and a comparison of neighbours (all that is asked of the order
+being which are equal, and a group can be summed up before it is shuffled), suffixes
+that a repeated window shares come together. They are then extended, left by up to
+29 words and right to 50:
 
 1. Suffixes whose whole surroundings (29 words before, 50 from the suffix on)
    are equal are one class: all of that is repeated, wherever it stands.
@@ -162,6 +163,7 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
     )
     shared = scratch.stage(shared, "shared")
     neighbours = scratch.stage(retained.join(shared, "prefix").drop("prefix"), "neighbours")
+    scratch.release(retained, shared)
     classes = neighbours.groupBy("around").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
     classes = scratch.stage(classes, "firsts")
     placed = scratch.stage(
@@ -171,6 +173,7 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
         ),
         "classes",
     )
+    scratch.release(neighbours, classes)
     whole = placed.filter("again").select(
         TAG, (~F.col("first")).alias("later"), F.greatest(F.col("at") - LEFT, F.lit(0)).alias("start"),
         F.least(F.col("at") + MIN_WORDS, F.col("n")).alias("end"),
@@ -184,7 +187,9 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
         TAG, (F.struct(TAG, "at") != _row_and_word("_first")).alias("later"), F.col("at").alias("start"),
         (F.col("at") + MIN_WORDS).alias("end"),
     )
-    return scratch.stage(whole.union(single), "spans")
+    spans = scratch.stage(whole.union(single), "spans")
+    scratch.release(placed, windows, repeated)
+    return spans
 
 
 def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -222,9 +227,11 @@ def drop_repeats(docs: DataFrame, scratch: Scratch, sizes: dict[str, Column] | N
     unchanged (NULL stays NULL).
     """
     rows = tagged_rows(docs, scratch)
-    later = _merged(_spans(_texts(rows), scratch).filter("later"))
+    spans = _spans(_texts(rows), scratch)
+    later = _merged(spans.filter("later"))
     by_row = later.groupBy(TAG).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
     joined = rows.join(scratch.stage(by_row, "cuts"), TAG, "left").select(ROW, "_cuts")
+    scratch.release(spans)
     names = docs.columns
     at = names.index("text")
 

@@ -28,19 +28,49 @@ def test_marginals_hold_after_raking(spark, scratch, documents):
         "source": spark.createDataFrame([("a", 0.5), ("b", 0.3), (None, 0.2)], "source string, share double"),
         "lang": spark.createDataFrame([("en", 0.4), ("fr", 0.6)], "lang string, share double"),
     }
-    raked = mixing.rake(cells, targets, scratch, sweeps=30).collect()
+    raked = mixing.rake(cells, targets, scratch, kept=0.05).collect()
     assert len(raked) == 5
     sums = defaultdict(float)
     for r in raked:
         sums[r.source] += r.weight
         sums[r.lang] += r.weight
-    assert {k: round(v, 5) for k, v in sums.items()} == {"a": 0.5, "b": 0.3, None: 0.2, "en": 0.4, "fr": 0.6}
+    assert {k: round(v, 3) for k, v in sums.items()} == {"a": 0.5, "b": 0.3, None: 0.2, "en": 0.4, "fr": 0.6}
 
-    mixed = mixing.mix(docs, scratch, by, targets, sweeps=30)
-    expected = {(r.source, r.lang): r.weight / r.tokens for r in raked}
-    largest = max(expected.values())
+    mixed = mixing.mix(docs, scratch, by, targets, kept=0.05)
+    budget = 0.05 * sum(r.tokens for r in raked)
+    expected = {(r.source, r.lang): r.weight * budget / r.tokens for r in raked}
     got = {(r.source, r.lang): r.probability for r in mixed.select("source", "lang", "probability").distinct().collect()}
-    assert got == pytest.approx({k: v / largest for k, v in expected.items()})
+    assert got == pytest.approx(expected)
+
+
+def test_a_stated_share_is_kept_whatever_else_there_is(monkeypatch, scratch, documents):
+    """One stray document of a source of its own, and a thousand small sources, leave the rest alone."""
+    monkeypatch.setattr(mixing, "draw", lambda *_: F.lit(0.0))  # every document with a probability above 0
+    rows = [(k, "word " * 20, ["en", "fr"][k % 2], f"s{k % 5}") for k in range(2_000)]
+    shares = []
+    for more in ([], [(9_000, "word " * 20, "en", "stray")], [(9_000 + k, "w " * 3, "xx", f"stray{k}") for k in range(1_000)]):
+        docs = documents(*rows, *more)
+        rate = mixing.mix(docs, scratch).select("source", "probability", mixing.word_count(f"{ROW}.text").alias("n"))
+        kept, whole = rate.agg(F.sum(F.col("probability") * F.col("n")), F.sum("n")).first()
+        shares.append(kept / whole)
+        strays = [r.probability for r in rate.filter("source LIKE 'stray%'").collect()]
+        assert all(p > 0.99 for p in strays)
+    assert shares == pytest.approx([mixing.KEPT_SHARE] * 3, abs=0.002)
+
+
+def test_the_share_to_keep_is_a_part(scratch, documents):
+    for kept in (0, 1, 1.5):
+        with pytest.raises(ValueError, match="share"):
+            mixing.mix(documents((1, "a")), scratch, kept=kept)
+
+
+def test_targets_beyond_what_there_is_are_met_as_far_as_they_go(spark, scratch, documents):
+    by = {"source": F.col("source")}
+    targets = {"source": spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, share double")}
+    docs = documents(*[(k, "w " * 10, "en", "a") for k in range(90)], *[(k, "w " * 10, "en", "b") for k in range(90, 100)])
+    with pytest.warns(RuntimeWarning, match="off its target"):
+        got = {r.source: r.probability for r in mixing.mix(docs, scratch, by, targets, kept=0.5).select("source", "probability").distinct().collect()}
+    assert got == pytest.approx({"a": 25 / 90, "b": 1.0})
 
 
 def test_tasks_for_many_cells_give_the_same(monkeypatch, spark, scratch, documents):
@@ -95,7 +125,7 @@ def test_a_category_without_target_gets_no_weight(spark, scratch, documents):
 def tied(spark, *cells):
     """Cells of sources tied to languages, of one topic, and their tempered targets."""
     found = spark.createDataFrame([(*c, "prose") for c in cells], "source string, lang string, tokens long, topic string")
-    return found, {d: mixing.tempered_targets(found, d, power) for d, power in mixing.TEMPER.items() if d != "topic"}
+    return found, {d: mixing.tempered_targets(found, d, power, 0.0005) for d, power in mixing.TEMPER.items() if d != "topic"}
 
 
 def worst(raked, targets):
@@ -110,12 +140,12 @@ def test_sources_tied_to_languages_are_raked_until_marginals_hold(spark, scratch
     cells, targets = tied(spark, ("a", "en", 1_000_000), ("a", "fr", 100), ("b", "fr", 10_000), ("c", "fr", 10_000), ("c", "en", 10))
     with warnings.catch_warnings():
         warnings.simplefilter("error", RuntimeWarning)
-        raked = mixing.rake(cells, targets, scratch)
+        raked = mixing.rake(cells, targets, scratch, kept=0.0005)
     assert worst(raked, targets) <= mixing.TOLERANCE
 
 
 def test_targets_that_contradict_each_other_are_reported(spark, scratch):
     cells, targets = tied(spark, ("a", "en", 1_000_000), ("b", "fr", 10_000), ("c", "fr", 10_000))
     with pytest.warns(RuntimeWarning, match="off its target by 0.0"):
-        raked = mixing.rake(cells, targets, scratch)
+        raked = mixing.rake(cells, targets, scratch, kept=0.0005)
     assert worst(raked, targets) > mixing.TOLERANCE
