@@ -7,8 +7,10 @@ partitions a merge touches and no others.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -24,6 +26,34 @@ class DuplicateKeys(ValueError):
     """Two source rows would update one target row."""
 
 
+class ConcurrentMerge(RuntimeError):
+    """Another merge into the table is under way, or one was cut off before it could say that it ended."""
+
+
+@contextmanager
+def only_writer(spark: SparkSession, table: str) -> Iterator[None]:
+    """Hold the mark of a table, an empty table beside it; only one writer can create it.
+
+    `table` is a full name. The mark of a writer that died is left behind; drop it by hand once
+    it is certain that nothing writes any more, for a merge that was cut off may be half done.
+    """
+    mark = f"{table[:-1]}{MARK}`"
+    try:
+        spark.sql(f"CREATE TABLE {mark} (since TIMESTAMP) USING parquet")
+    except AnalysisException as refused:
+        if spark.catalog.tableExists(mark.replace("`", "")):
+            raise ConcurrentMerge(f"{mark} is there: another merge into {table} is under way or was cut off") from refused
+        raise
+    try:
+        yield
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {mark}")
+
+
+#: What the mark of a table is called, after the table's own name.
+MARK = "__being_merged"
+
+
 def _check_mode(on_duplicate: str) -> None:
     if on_duplicate not in ("error", "keep_all"):
         raise ValueError("on_duplicate must be 'error' or 'keep_all'")
@@ -106,12 +136,21 @@ def upsert_table(
        fails while writing keeps the staged content, to be written again.
     4. Touched partitions that end up with no rows are dropped.
 
-    A table has one writer at a time: two merges into one table at once can lose
-    rows and are for the scheduler to rule out. Readers may see a row that moved
+    A table has one writer at a time: a second merge into it gets a `ConcurrentMerge`
+    error, before anything is read. Readers may see a row that moved
     to another day twice until step 4 is done.
     """
-    _check_mode(on_duplicate)
     table = qualified(spark, table)
+    with only_writer(spark, table):
+        merge_into(spark, table, source, fact, workspace, on_duplicate, null_safe, within)
+
+
+def merge_into(
+    spark: SparkSession, table: str, source: DataFrame, fact: Fact, workspace: Workspace,
+    on_duplicate: str = "error", null_safe: bool = False, within: set[dt.date | None] | None = None,
+) -> None:
+    """`upsert_table` for a caller that is the `only_writer` of `table`, given by its full name."""
+    _check_mode(on_duplicate)
     part, keys = fact.partition_column, list(fact.keys)
     staged_name, staged = workspace.stage(with_partition(source, fact), f"{fact.name}_source")
     names = [staged_name]

@@ -8,11 +8,15 @@ active days, a number the calendar bounds.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from matchledger.functions import as_flag, or_zero, round3
+from matchledger.operators.keydays import on_days
 from matchledger.operators.spine import date_spine, days_through, last_date
 from matchledger.operators.streaks import micros
 from matchledger.operators.watermark import incremental_filter
@@ -323,3 +327,51 @@ def daily_player_from(events: DataFrame, stored: DataFrame, first_day: Column) -
     return fill_days(days, last_date(events)).filter(F.col("date_utc") >= first_day)
 
 
+PLAYER = ["player_id"]
+
+
+def touched_players(arrived: DataFrame) -> DataFrame:
+    """(player_id, _from): the players of the arrived events, each with the first day that came in."""
+    return arrived.filter(F.col("date_utc").isNotNull()).groupBy(*PLAYER).agg(F.min("date_utc").alias("_from"))
+
+
+def _of_touched(df: DataFrame, touched: DataFrame) -> DataFrame:
+    """`df` with each touched player's `_from`; players without an id are one player."""
+    same = F.col("a.player_id").eqNullSafe(F.col("b.player_id"))
+    return df.alias("a").join(touched.alias("b"), same).select("a.*", "b._from")
+
+
+def segments_redone(
+    events: DataFrame, stored: DataFrame, touched: DataFrame, seed_days: Iterable[dt.date], last_day: Column
+) -> DataFrame:
+    """The touched players' days, each from its own first touched day on, up to `last_day`.
+
+    Continued from the stored day before that one, which must be among `seed_days`. `events`
+    need to hold the touched players' events from there on, `stored` the rows of the seed days.
+    """
+    fresh = _of_touched(events, touched).filter(F.col("date_utc") >= F.col("_from")).drop("_from")
+    before = _of_touched(stored.filter(on_days("date_utc", seed_days)), touched)
+    seed = before.filter(F.col("date_utc") == F.date_sub("_from", 1)).select(*DAILY.columns)
+    filled = fill_days(seed.unionByName(day_metrics(fresh)), last_day)
+    return _of_touched(filled, touched).filter(F.col("date_utc") >= F.col("_from")).select(*DAILY.columns)
+
+
+def calendar_extended(stored: DataFrame, touched: DataFrame, old_last: Column, last_day: Column) -> DataFrame:
+    """The days after `old_last` up to `last_day` of the players that nothing arrived for, carried on from it."""
+    end = stored.filter(F.col("date_utc") == old_last).alias("a")
+    others = end.join(touched.alias("b"), F.col("a.player_id").eqNullSafe(F.col("b.player_id")), "left_anti")
+    return fill_days(others.select(*DAILY.columns), last_day).filter(F.col("date_utc") > old_last)
+
+
+def changed_days(redone: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of `redone` on the player-days whose rows are others than those stored.
+
+    A day can have several rows, which differ in their balances; they are compared as a set with counts.
+    """
+    def as_days(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*DAY_KEYS).agg(F.array_sort(F.collect_list(F.struct(*DAILY.columns))).alias(name))
+
+    new, old = as_days(redone, "_new").alias("a"), as_days(stored, "_old").alias("b")
+    same_day = (F.col("a.date_utc") == F.col("b.date_utc")) & F.col("a.player_id").eqNullSafe(F.col("b.player_id"))
+    differ = new.join(old, same_day, "left").filter(~F.col("_new").eqNullSafe(F.col("_old")))
+    return differ.select(F.explode("_new").alias("_row")).select("_row.*")

@@ -18,9 +18,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchledger.operators.joins import any_null
-from matchledger.operators.keydays import days_of, on_days, record_days
-from matchledger.operators.upsert import upsert_table
-from matchledger.operators.watermark import high_water_mark, incremental_filter, typed_literal
+from matchledger.operators.keydays import days_of, distinct_days, on_days, record_days
+from matchledger.operators.upsert import merge_into, only_writer
+from matchledger.operators.watermark import (
+    high_water_mark,
+    incremental_filter,
+    partition_days,
+    stored_high_water_mark,
+    typed_literal,
+)
 from matchledger.plans import daily, games, roas, rooms
 from matchledger.schemas import DAILY, GAMES, MATCH_KEYS, PURCHASE, ROAS, ROOM_KEYS, ROOMS
 from matchledger.session import Workspace
@@ -32,9 +38,9 @@ class Inputs:
     """What the facts are built from; `latest` is the last day of `daily` where it is known.
 
     `arrived`: the events that came in since the last refresh, also part of `events`.
-    `key_days`: a table of its own for one stored fact, in which refreshes of matches or
-    rooms record the days of each; with it they read and rewrite those days only. It
-    needs `arrived`, and must be there from the first build on.
+    `key_days`: a table of its own for one stored fact, in which refreshes of matches, rooms
+    or player-days record the days of each match, room or player; with it they read those
+    days only. It needs `arrived`, and must be there from the first build on.
     """
 
     events: DataFrame | None = None
@@ -48,7 +54,7 @@ class Inputs:
 
 FACTS = {fact.name: fact for fact in (GAMES, ROOMS, DAILY, ROAS)}
 #: Facts whose refresh may keep an index of days, and its keys.
-INDEXED = {GAMES.name: MATCH_KEYS, ROOMS.name: ROOM_KEYS}
+INDEXED = {GAMES.name: MATCH_KEYS, ROOMS.name: ROOM_KEYS, DAILY.name: daily.PLAYER}
 
 
 def refresh(
@@ -63,7 +69,7 @@ def refresh(
 ) -> DataFrame:
     """Build `table` if it is not there, else merge what is new; returns the stored fact.
 
-    One refresh of a table at a time; see `upsert_table`.
+    One refresh of a table at a time; a second one gets a `ConcurrentMerge` error.
     """
     if late not in ("as_written", "reprocess"):
         raise ValueError("late must be 'as_written' or 'reprocess'")
@@ -78,23 +84,32 @@ def refresh(
                 record_days(spark, inputs.key_days, inputs.events, INDEXED[name])
             return read_fact(spark, table, fact)
         table = qualified(spark, table)
-        stored = read_fact(spark, table, fact)
-        within = None
-        if late == "as_written":
-            source = _as_written(name, inputs, stored, workspace, staged)
-        elif inputs.key_days and name in INDEXED:
-            source, within = _reprocessed_by_day(spark, name, inputs, workspace, staged, redo_from)
-        else:
-            source = _reprocessed(name, inputs, stored, workspace, staged, redo_from)
-        # What is rebuilt takes the place of what was there, under incomplete keys too.
-        upsert_table(
-            spark, table, source, fact, workspace, on_duplicate, null_safe=late == "reprocess", within=within
-        )
+        # What is read of the stored fact has to be what the merge meets.
+        with only_writer(spark, table):
+            _refreshed(spark, name, table, inputs, workspace, staged, late, on_duplicate, redo_from)
     finally:
         workspace.release(*staged)
     return read_fact(spark, table, fact)
 
 
+def _refreshed(
+    spark: SparkSession, name: str, table: str, inputs: Inputs, workspace: Workspace, staged: list[str],
+    late: str, on_duplicate: str, redo_from: dt.date | None,
+) -> None:
+    fact, within = FACTS[name], None
+    stored = read_fact(spark, table, fact)
+    if late == "as_written":
+        source = _as_written(name, inputs, spark, table, workspace, staged)
+    elif name == DAILY.name and inputs.arrived is not None and redo_from is None and not stored.isEmpty():
+        source = _repaired_days(spark, table, inputs, stored, workspace, staged)
+    elif inputs.key_days and name in INDEXED and name != DAILY.name:
+        source, within = _reprocessed_by_day(spark, name, inputs, workspace, staged, redo_from)
+    else:
+        source = _reprocessed(name, inputs, stored, workspace, staged, redo_from)
+    # What is rebuilt takes the place of what was there, under incomplete keys too.
+    merge_into(spark, table, source, fact, workspace, on_duplicate, null_safe=late == "reprocess", within=within)
+
+
 def _full(name: str, inputs: Inputs, workspace: Workspace, staged: list[str]) -> DataFrame:
     if name == GAMES.name:
         return games.fct_games_split(inputs.events, workspace, staged=staged)
@@ -106,11 +121,15 @@ def _full(name: str, inputs: Inputs, workspace: Workspace, staged: list[str]) ->
 
 
 def _as_written(
-    name: str, inputs: Inputs, stored: DataFrame, workspace: Workspace, staged: list[str]
+    name: str, inputs: Inputs, spark: SparkSession, table: str, workspace: Workspace, staged: list[str]
 ) -> DataFrame:
     events = inputs.events
+
+    def high_mark(field: str) -> Column:
+        return stored_high_water_mark(spark, table, field, FACTS[name].partition_column)
+
     if name == GAMES.name:
-        since = high_water_mark(stored, "joined_time")
+        since = high_mark("joined_time")
         new = _stage(workspace, staged, games.joins(events, since), "new_joins")
         sides = [
             side(events).join(new.select(*MATCH_KEYS), MATCH_KEYS, "left_semi")
@@ -118,7 +137,7 @@ def _as_written(
         ]
         return games.as_games(games.split_lifecycle(new, sides, workspace, staged))
     if name == ROOMS.name:
-        since = high_water_mark(stored, "room_open_time")
+        since = high_mark("room_open_time")
         new = incremental_filter(
             rooms.joined_events(events), "timestamp_utc", since, day_column="date_utc"
         ).select(*ROOM_KEYS).distinct()
@@ -130,7 +149,7 @@ def _as_written(
         )
         return rooms.fct_rooms(of_rooms.unionByName(keyless), since)
     if name == DAILY.name:
-        return daily.daily_player(events, opening_since=high_water_mark(stored, "date_utc"))
+        return daily.daily_player(events, opening_since=high_mark("date_utc"))
     return _full(name, inputs, workspace, staged)
 
 
@@ -156,12 +175,46 @@ def _reprocessed(
         days = [high_water_mark(stored, "date_utc")]
         if redo_from is not None:
             days.append(F.lit(redo_from))
-        if inputs.arrived is not None:
+        if inputs.arrived is not None:  # with redo_from: all players from the earlier day on
             days.append(typed_literal(inputs.arrived, F.min("date_utc"), inputs.arrived.schema["date_utc"].dataType))
         return daily.daily_player_from(events, stored, F.least(*days) if len(days) > 1 else days[0])
     return _full(name, inputs, workspace, staged)
 
 
+def _repaired_days(
+    spark: SparkSession, table: str, inputs: Inputs, stored: DataFrame, workspace: Workspace, staged: list[str]
+) -> DataFrame:
+    """The player-days that the arrived events change, and the days that the calendar gained.
+
+    Each touched player is redone from its own first touched day on. With an index of days
+    the log is read on these players' days only; without one, from the first of all touched days on.
+    """
+    old_last = partition_days(spark, table, DAILY.partition_column)[0]
+    # No later than the first day that is not stored yet, so that the day before it is.
+    touched = daily.touched_players(inputs.arrived).withColumn("_from", F.least("_from", F.date_add(F.lit(old_last), 1)))
+    touched = _stage(workspace, staged, touched, "touched")
+    if inputs.key_days:
+        if not spark.catalog.tableExists(inputs.key_days):
+            raise ValueError("key_days has to be there from the first build on")
+        record_days(spark, inputs.key_days, inputs.arrived, daily.PLAYER)
+    bounds = touched.agg(F.min("_from").alias("first")).first()
+    if bounds["first"] is None:
+        return stored.limit(0)
+    newest = inputs.arrived.agg(F.max("date_utc")).first()[0]
+    last, old_end = F.lit(max(old_last, newest)), F.lit(old_last)
+    events = inputs.events.filter(F.col("date_utc") >= F.lit(bounds["first"]))
+    if inputs.key_days:
+        events = events.filter(on_days("date_utc", days_of(spark, inputs.key_days, touched, daily.PLAYER)))
+    seeds = distinct_days(touched.select(F.date_sub("_from", 1).alias("seed")), "seed")
+    redone = _stage(workspace, staged, daily.segments_redone(events, stored, touched, seeds, last), "redone")
+    known = stored.filter(F.col("date_utc") >= F.lit(bounds["first"])).alias("a")
+    of_players = known.join(touched.alias("b"), F.col("a.player_id").eqNullSafe(F.col("b.player_id")), "left_semi")
+    changed = daily.changed_days(redone, of_players)
+    if newest <= old_last:
+        return changed
+    return changed.unionByName(daily.calendar_extended(stored, touched, old_end, last))
+
+
 def _reprocessed_by_day(
     spark: SparkSession, name: str, inputs: Inputs, workspace: Workspace, staged: list[str], redo_from: dt.date | None
 ) -> tuple[DataFrame, set[dt.date | None]]:

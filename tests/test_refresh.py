@@ -105,13 +105,13 @@ def test_an_index_of_days_prunes_log_and_target(spark, workspace, log, name, ful
     everything = read_events(spark, stored_log)
     refresh(spark, name, table, Inputs(events=log(*first), key_days=key_days), workspace)
     plans = []
-    plain = upsert.upsert_table
+    plain = upsert.merge_into
 
     def seen(spark, table, source, *args, **options):
         plans.append((source._jdf.queryExecution().executedPlan().toString(), options["within"]))
         return plain(spark, table, source, *args, **options)
 
-    monkeypatch.setattr("matchledger.plans.refresh.upsert_table", seen)
+    monkeypatch.setattr("matchledger.plans.refresh.merge_into", seen)
     inputs = Inputs(events=everything, arrived=log(*late), key_days=key_days)
     out = refresh(spark, name, table, inputs, workspace, "reprocess", "keep_all")
     assert bag(out) == bag(full(log(*first, *late)))

@@ -1,11 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchledger.operators.upsert import DuplicateKeys, upsert_frame, upsert_table
+from matchledger.operators.upsert import ConcurrentMerge, DuplicateKeys, only_writer, upsert_frame, upsert_table
 from matchledger.operators.watermark import high_water_mark, incremental_filter
 from matchledger.plans.games import fct_games
 from matchledger.schemas import GAMES, Fact
-from matchledger.sources.tables import create_fact, read_fact
+from matchledger.sources.tables import create_fact, qualified, read_fact
 
 ITEMS = Fact("items", ("k", "v", "d"), ("k",), "d", "d")
 DATED = Fact("dated", ("k", "v", "d"), ("k", "d"), "d", "d")
@@ -178,3 +178,15 @@ def test_fact_columns_come_back_in_order(spark, workspace, log):
     table = workspace.table("games")
     create_fact(fct_games(log(joined("05 10:00"))), table, GAMES)
     assert read_fact(spark, table, GAMES).columns == list(GAMES.columns)
+
+
+def test_a_second_writer_gets_an_error_and_the_first_one_ends(spark, workspace):
+    table, new = workspace.table("items"), frame(spark, (1, "b", 6))
+    create_fact(frame(spark, (1, "a", 5)), table, ITEMS)
+    with only_writer(spark, qualified(spark, table)), pytest.raises(ConcurrentMerge, match="under way"):
+        upsert_table(spark, table, new, ITEMS, workspace)
+    assert rows(spark.table(table)) == [(1, "a", 5)]
+    with pytest.raises(DuplicateKeys):
+        upsert_table(spark, table, new.union(new), ITEMS, workspace)
+    upsert_table(spark, table, new, ITEMS, workspace)  # neither error left a mark behind
+    assert rows(spark.table(table)) == [(1, "b", 6)]
