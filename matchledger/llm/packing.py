@@ -142,6 +142,23 @@ def cut_documents(
     return rows.mapInArrow(of_batches, out)
 
 
+def _with_ids(pieces: DataFrame, compressed: bool = False) -> DataFrame:
+    """The pieces with their `ids` compressed, or as they were before; `length` says how many there are."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids").to_pylist()
+            if compressed:
+                ids = [pa.compress(i, codec="zstd", asbytes=True) for i in ids]
+            else:
+                sizes = batch.column("length").to_pylist()
+                ids = [pa.decompress(i, 4 * n, codec="zstd", asbytes=True) for i, n in zip(ids, sizes, strict=True)]
+            at = batch.schema.get_field_index("ids")
+            yield batch.set_column(at, "ids", pa.array(ids, pa.binary()))
+
+    return pieces.mapInArrow(of_batches, pieces.schema)
+
+
 # patterns ----------------------------------------------------------------------
 
 
@@ -281,13 +298,13 @@ def pack(docs: DataFrame, scratch: Scratch, vocabulary: str | None = None, with_
     rows are packed like any others; an empty table gives no pieces.
     """
     cut = cut_documents(docs, vocabulary).withColumn("ids_crc32", F.crc32("ids"))
-    pieces = scratch.stage(cut if with_ids else cut.drop("ids"), "pieces")
+    pieces = scratch.stage(_with_ids(cut, True) if with_ids else cut.drop("ids"), "pieces")
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     if not with_ids:
         return assign_sequences(pieces, scratch).select(*columns)
-    # Ids are heavy: they are moved once, in the end, and to where the places of their pieces are known.
+    # Ids are heavy: they are moved once, compressed, to where the places of their pieces are known.
     placed = scratch.stage(assign_sequences(pieces.select(TAG, "start", "length"), scratch), "placed")
-    return pieces.join(placed.drop("length"), [TAG, "start"]).select(*columns, "ids")
+    return _with_ids(pieces.join(placed.drop("length"), [TAG, "start"]).select(*columns, "ids"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
