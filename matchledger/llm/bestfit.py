@@ -233,7 +233,7 @@ def pack_whole(
     without gaps from offset 0. Equal rows are packed like any others, ids of documents may
     be NULL or repeat, other columns are not looked at; an empty table gives no pieces.
     """
-    cut = cut_documents(docs, vocabulary, length, END_ID).withColumn("ids_crc32", F.crc32("ids"))
+    cut = cut_documents(docs, vocabulary, length, END_ID)
     cut = cut.withColumn("piece", (F.col("start") / length).cast("int"))
     pieces = scratch.stage(cut if with_ids else cut.drop("ids"), "pieces")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 import struct
+import zlib
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -104,18 +105,18 @@ def word_ids(path: str) -> WordIds:
 
 
 def cut_documents(
-    docs: DataFrame, vocabulary: str | None = None, length: int = SEQUENCE, end_id: int = END_ID
+    docs: DataFrame, vocabulary: str | None = None, length: int = SEQUENCE, end_id: int = END_ID, compressed: bool = False
 ) -> DataFrame:
-    """(doc_id, _tag, start, length, ids, doc_tokens): each document's ids and a closing one, cut into pieces.
+    """(doc_id, _tag, start, length, ids, doc_tokens, ids_crc32): each document's ids and a closing one, cut into pieces.
 
-    ids: little-endian 32-bit numbers. NULL text counts as empty, so every row has
+    ids: little-endian 32-bit numbers, compressed by zstd if asked for. NULL text counts as empty, so every row has
     a piece. `vocabulary` is a file that every executor has at that path.
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     rows = tagged(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text")), "doc_id", "_text")
     out = rows.select(
         "doc_id", TAG, F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("length"),
-        F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("doc_tokens"),
+        F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("doc_tokens"), F.lit(0).cast("long").alias("ids_crc32"),
     ).schema
     end = np.array([end_id], "<u4").tobytes()
 
@@ -130,11 +131,14 @@ def cut_documents(
                     starts.append(start // 4)
                     pieces.append(ids[start : start + 4 * length])
             at = pa.array(owner, pa.int64())
+            sizes, sums = [len(p) // 4 for p in pieces], [zlib.crc32(p) for p in pieces]
+            if compressed:
+                pieces = [pa.compress(p, codec="zstd", asbytes=True) for p in pieces]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(at), batch.column(TAG).take(at), pa.array(starts, pa.int64()),
-                    pa.array([len(p) // 4 for p in pieces], pa.int64()), pa.array(pieces, pa.binary()),
-                    pa.array([len(found[i]) // 4 for i in owner], pa.int64()),
+                    pa.array(sizes, pa.int64()), pa.array(pieces, pa.binary()),
+                    pa.array([len(found[i]) // 4 for i in owner], pa.int64()), pa.array(sums, pa.int64()),
                 ],
                 out.names,
             )
@@ -142,19 +146,14 @@ def cut_documents(
     return rows.mapInArrow(of_batches, out)
 
 
-def _with_ids(pieces: DataFrame, compressed: bool = False) -> DataFrame:
-    """The pieces with their `ids` compressed, or as they were before; `length` says how many there are."""
+def _expanded(pieces: DataFrame) -> DataFrame:
+    """The pieces with their `ids` as they were before they were compressed; `length` says how many there are."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            if compressed:
-                ids = [pa.compress(i, codec="zstd", asbytes=True) for i in ids]
-            else:
-                sizes = batch.column("length").to_pylist()
-                ids = [pa.decompress(i, 4 * n, codec="zstd", asbytes=True) for i, n in zip(ids, sizes, strict=True)]
-            at = batch.schema.get_field_index("ids")
-            yield batch.set_column(at, "ids", pa.array(ids, pa.binary()))
+            both = zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist(), strict=True)
+            ids = [pa.decompress(packed, 4 * n, codec="zstd", asbytes=True) for packed, n in both]
+            yield batch.set_column(batch.schema.get_field_index("ids"), "ids", pa.array(ids, pa.binary()))
 
     return pieces.mapInArrow(of_batches, pieces.schema)
 
@@ -297,14 +296,14 @@ def pack(docs: DataFrame, scratch: Scratch, vocabulary: str | None = None, with_
     ids if asked for. Each sequence is filled without gaps from offset 0. Equal
     rows are packed like any others; an empty table gives no pieces.
     """
-    cut = cut_documents(docs, vocabulary).withColumn("ids_crc32", F.crc32("ids"))
-    pieces = scratch.stage(_with_ids(cut, True) if with_ids else cut.drop("ids"), "pieces")
+    cut = cut_documents(docs, vocabulary, compressed=with_ids)
+    pieces = scratch.stage(cut if with_ids else cut.drop("ids"), "pieces")
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     if not with_ids:
         return assign_sequences(pieces, scratch).select(*columns)
     # Ids are heavy: they are moved once, compressed, to where the places of their pieces are known.
     placed = scratch.stage(assign_sequences(pieces.select(TAG, "start", "length"), scratch), "placed")
-    return _with_ids(pieces.join(placed.drop("length"), [TAG, "start"]).select(*columns, "ids"))
+    return _expanded(pieces.join(placed.drop("length"), [TAG, "start"]).select(*columns, "ids"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
