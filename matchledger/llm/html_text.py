@@ -7,8 +7,10 @@ bullets or numbers, indented by their depth, and tables with aligned columns.
 What a browser does not show is left out: head, scripts, styles, comments, hidden
 elements, closed details and the like.
 
-A page is one row's work, linear in its length but for tables inside tables, which
-are laid out by themselves down to a depth and then run on as blocks.
+A page is one row's work and linear in its length: no character is looked at again once
+its tag is read, elements nest `TREE_DEPTH` deep at most (deeper ones become siblings),
+indentation and padding are bounded, and tables inside tables are laid out by themselves
+down to `TABLE_DEPTH` and then run on as blocks. None of these bounds drops text.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +28,13 @@ from matchledger.llm.common import table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INVISIBLE = frozenset(
-    "head title script style template noscript iframe object audio video canvas datalist select map meter progress "
-    "svg math noframes noembed applet".split()
+    "head title script style template noscript iframe object audio video canvas datalist meter progress "
+    "noframes noembed applet defs desc metadata symbol annotation annotation-xml".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary "
-    "table tbody td tfoot th thead tr ul caption".split()
+    "table tbody td text tfoot th thead tr ul caption".split()
 )
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote figure dl ol ul menu dir pre table hr fieldset".split())
 LISTS = frozenset("ul ol menu dir".split())
@@ -47,17 +49,121 @@ IMPLIED_END = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "body": ({"head"}, {"body"}),
 }
-ENDS_PARAGRAPH = BLOCK - {"option", "optgroup", "summary", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html", "body"}
+ENDS_PARAGRAPH = BLOCK - {"option", "optgroup", "summary", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html", "body", "text"}
 #: A paragraph is not looked for beyond these.
 PARAGRAPH_WITHIN = frozenset("table td th caption button object html".split())
-TABLE_DEPTH = 8
+TABLE_DEPTH = 32
+TREE_DEPTH = 256
+#: Wider cells, columns further right and deeper blocks are not padded or indented beyond these.
+MOST_PADDED, MOST_START, MOST_INDENT = 200, 1_000, 80
+MOST_COLUMNS, MOST_ROWS = 100, 1_000
 COLUMN_GAP = "  "
+#: Elements whose content holds no tags, the first without character references too.
+RAW = frozenset("script style xmp iframe noembed noframes".split())
+PLAIN = frozenset("title textarea".split())
 
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 _STYLE_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
 
 
+# tags --------------------------------------------------------------------------
+
+_TAG = re.compile(r"[a-zA-Z][^ \t\n\f\r/>]*")
+_BETWEEN = re.compile(r"[ \t\n\f\r/]*")
+_ATTRIBUTE = re.compile(r"[^ \t\n\f\r/>][^ \t\n\f\r/>=]*")
+_EQUALS = re.compile(r"[ \t\n\f\r]*=[ \t\n\f\r]*")
+_UNQUOTED = re.compile(r"[^ \t\n\f\r>]*")
+_COMMENT_END = re.compile(r"--!?>")
+_NUMBER = re.compile(r"&#0*([0-9]+)")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[ \t\n\f\r/>])", re.I) for tag in RAW | PLAIN}
+
+
+def _decoded(text: str) -> str:
+    """Character references resolved; of a number only as many digits are read as can matter."""
+    return unescape(_NUMBER.sub(lambda m: "&#" + m[1][:8], text)) if "&" in text else text
+
+
+def _attributes(html: str, at: int) -> tuple[dict[str, str | None], int]:
+    """The attributes from `at` on and the place after the tag; the end of the text if the tag is not closed."""
+    found: dict[str, str | None] = {}
+    while True:
+        at = _BETWEEN.match(html, at).end()
+        if at >= len(html):
+            return found, -1
+        if html[at] == ">":
+            return found, at + 1
+        name = _ATTRIBUTE.match(html, at)
+        at, value = name.end(), None
+        equals = _EQUALS.match(html, at)
+        if equals:
+            at = equals.end()
+            quote = html[at : at + 1]
+            if quote in ("'", '"') and quote:
+                end = html.find(quote, at + 1)
+                if end < 0:
+                    return found, -1
+                value, at = html[at + 1 : end], end + 1
+            else:
+                unquoted = _UNQUOTED.match(html, at)
+                value, at = unquoted[0], unquoted.end()
+        # Of a repeated attribute, the first counts.
+        found.setdefault(name[0].lower(), None if value is None else _decoded(value))
+
+
+def _tokens(html: str) -> Iterator[tuple[str, str, dict[str, str | None]]]:
+    """("start" | "end" | "text", tag or text, attributes), in one pass.
+
+    What opens a tag or comment that is never closed is not shown, nor is what follows it, as in a browser.
+    """
+    at, size = 0, len(html)
+    while at < size:
+        opens = html.find("<", at)
+        if opens < 0:
+            opens = size
+        if opens > at:
+            yield "text", _decoded(html[at:opens]), {}
+        if opens == size:
+            return
+        at = opens + 1
+        tag = _TAG.match(html, at)
+        if tag:
+            attributes, at = _attributes(html, tag.end())
+            if at < 0:
+                return
+            name = tag[0].lower()
+            yield "start", name, attributes
+            if name in _RAW_END:
+                closed = _RAW_END[name].search(html, at)
+                end = closed.start() if closed else size
+                if end > at:
+                    yield "text", html[at:end] if name in RAW else _decoded(html[at:end]), {}
+                at = end
+            continue
+        if html.startswith("!--", at):
+            at += 3
+            # "<!-->" and "<!--->" are whole comments.
+            short = next((s for s in (">", "->") if html.startswith(s, at)), None)
+            closed = None if short else _COMMENT_END.search(html, at)
+            if not short and not closed:
+                return
+            at = at + len(short) if short else closed.end()
+            continue
+        ends_tag = _TAG.match(html, at + 1) if html.startswith("/", at) else None
+        if ends_tag:
+            _, at = _attributes(html, ends_tag.end())
+            if at < 0:
+                return
+            yield "end", ends_tag[0].lower(), {}
+        elif html[at : at + 1] in ("!", "?") and at < size or html.startswith("/", at) and at + 1 < size:
+            closed = html.find(">", at)
+            if closed < 0:
+                return
+            at = closed + 1
+        else:
+            yield "text", "<", {}
+
+
 # tree --------------------------------------------------------------------------
 
 
@@ -67,14 +173,14 @@ class Node:
     def __init__(self, tag: str, attrs: dict[str, str | None]):
         self.tag, self.attrs, self.children = tag, attrs, []
 
-    def span(self, name: str) -> int:
+    def span(self, name: str, most: int) -> int:
         value = self.attrs.get(name) or "1"
-        return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() else 1
+        digits = value.lstrip("0")[:9] if value.isascii() and value.isdigit() else "1"
+        return min(max(int(digits or "0"), 1), most)
 
 
-class TreeBuilder(HTMLParser):
+class TreeBuilder:
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self._open = [self.root]
         self._count: Counter[str] = Counter()
@@ -98,7 +204,7 @@ class TreeBuilder(HTMLParser):
         if last is not None:
             self._pop_to(last)
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def start(self, tag: str, attrs: dict[str, str | None]) -> None:
         if tag == "html":
             return
         if self._count["head"] and tag not in HEAD_ONLY and tag != "head":
@@ -107,16 +213,15 @@ class TreeBuilder(HTMLParser):
             self._imply_end({"p"}, PARAGRAPH_WITHIN)
         if tag in IMPLIED_END:
             self._imply_end(*IMPLIED_END[tag])
-        node = Node(tag, dict(reversed(attrs)))  # of a repeated attribute, the first counts
+        node = Node(tag, attrs)
+        if tag not in VOID and len(self._open) >= TREE_DEPTH:
+            self._pop_to(TREE_DEPTH - 1)
         self._open[-1].children.append(node)
         if tag not in VOID:
             self._open.append(node)
             self._count[tag] += 1
 
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
-
-    def handle_endtag(self, tag: str) -> None:
+    def end(self, tag: str) -> None:
         if tag == "br":
             self._open[-1].children.append(Node("br", {}))
         if not self._count[tag]:
@@ -129,10 +234,10 @@ class TreeBuilder(HTMLParser):
                 return
             if found == "table" or (found in ("td", "th", "caption") and tag not in ("table", "tr", "tbody", "thead", "tfoot")):
                 return
-            if tag not in BLOCK and found in BLOCK:
+            if tag not in BLOCK and found in BLOCK and found not in ("option", "optgroup", "text"):
                 return
 
-    def handle_data(self, data: str) -> None:
+    def text(self, data: str) -> None:
         if self._count["head"] and self._open[-1].tag == "head" and data.strip():
             self._imply_end({"head"}, set())
         self._open[-1].children.append(data)
@@ -140,8 +245,13 @@ class TreeBuilder(HTMLParser):
 
 def parse(html: str) -> Node:
     builder = TreeBuilder()
-    builder.feed(html)
-    builder.close()
+    for what, value, attributes in _tokens(html):
+        if what == "start":
+            builder.start(value, attributes)
+        elif what == "end":
+            builder.end(value)
+        else:
+            builder.text(value)
     return builder.root
 
 
@@ -159,9 +269,25 @@ def _hidden(node: Node) -> bool:
 def _shown_children(node: Node) -> list:
     if node.tag == "details" and "open" not in node.attrs:
         return [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+    if node.tag == "select" and "multiple" not in node.attrs:
+        return _chosen(node)
     return node.children
 
 
+def _chosen(select: Node) -> list:
+    """What a closed list shows: the last option marked as selected, else the first."""
+    options, todo = [], list(reversed(select.children))
+    while todo:
+        child = todo.pop()
+        if isinstance(child, Node):
+            if child.tag == "option":
+                options.append(child)
+            elif child.tag == "optgroup":
+                todo += reversed(child.children)
+    marked = [o for o in options if "selected" in o.attrs]
+    return (marked[-1:] or options[:1])[0].children if options else []
+
+
 class Renderer:
     """Lines of text, from the events of a walk through the tree."""
 
@@ -208,7 +334,7 @@ class Renderer:
         if self._blank and self.lines and self.lines[-1]:
             self.lines.append("")
         self._blank = False
-        pad = " " * (self._indent - len(self._marker)) + self._marker
+        pad = " " * (min(self._indent, MOST_INDENT) - len(self._marker)) + self._marker
         self._marker = ""
         self.lines.append((pad + line).rstrip())
 
@@ -271,7 +397,8 @@ class Renderer:
                 marker = f"{self._lists[-1][1]}. "
                 self._lists[-1][1] += 1
             self._indent += len(marker)
-            self._marker = marker
+            # An item that begins with a list shares its first line.
+            self._marker = (self._marker if len(self._marker) < MOST_INDENT else "") + marker
             node.attrs["\0indent"] = len(marker)
         elif tag in ("dd", "blockquote"):
             self._indent += 4
@@ -299,9 +426,9 @@ class Renderer:
         self.margin()
         captions, rows = _rows_of(node)
         for caption in captions:
-            for line in _block_lines(caption, self._depth, visible):
+            for line in _block_lines(caption, self._depth + 1, visible):
                 self._put(line)
-        for line in _aligned([[(_block_lines(c, self._depth + 1, visible), c.span("colspan"), c.span("rowspan")) for c in r] for r in rows]):
+        for line in _aligned([[(_block_lines(c, self._depth + 1, visible), c.span("colspan", MOST_COLUMNS), c.span("rowspan", MOST_ROWS)) for c in r] for r in rows]):
             self._put(line)
         self.margin()
 
@@ -368,6 +495,7 @@ def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     for cells in rows:
         column, row, covers = 0, [], {}
         for lines, columns, down in cells:
+            columns = min(columns, max(1, MOST_COLUMNS - column))
             while taken.get(column, 0) > 0:
                 column += 1
             row.append((column, columns, lines))
@@ -380,13 +508,12 @@ def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     for row in placed:
         for column, columns, lines in row:
             if columns == 1:
-                widths[column] = max(widths[column], max(map(len, lines), default=0))
+                widths[column] = max(widths[column], min(max(map(len, lines), default=0), MOST_PADDED))
     out = []
-    used = sorted(c for c, w in widths.items() if w) or [0]
     starts, at = {}, 0
-    for c in range(max((c for row in placed for c, _, _ in row), default=0) + 1):
-        starts[c] = at
-        at += widths[c] + len(COLUMN_GAP) if c in used else 0
+    for c in sorted({c for row in placed for c, _, _ in row} | widths.keys()):
+        starts[c] = min(at, MOST_START)
+        at += widths[c] + len(COLUMN_GAP) if widths[c] else 0
     for row in placed:
         for k in range(max((len(lines) for _, _, lines in row), default=0)):
             line = ""

@@ -43,7 +43,21 @@ from tests.conftest import SF_DIR
         ("<p style='visibility:hidden'>x<b style='visibility:visible'>y</b></p>", "y"),
         ("<details><summary>s</summary>t</details><details open><summary>u</summary>v</details>", "s\nu\nv"),
         ("<table><tr><td hidden>x<td>y</table>", "y"),
-        ("<noscript>x</noscript><template>y</template><svg><text>t</text></svg><dialog>d</dialog>", ""),
+        ("<noscript>x</noscript><template>y</template><dialog>d</dialog>", ""),
+        ("<svg><title>x</title><defs>y</defs><text>t</text><text>u</text></svg>", "t\nu"),
+        ("<math><mi>a</mi><mo>=</mo><mn>1</mn><annotation>x</annotation></math>", "a=1"),
+        ("<map><area alt=x>m</map>", "m"),
+        ("Size <select><option>S<option selected>M<option>L</select> in stock", "Size M in stock"),
+        ("<select><optgroup label=x><option>S<option>M</select>", "S"),
+        ("<select multiple><option>S<option>M</select>", "S\nM"),
+        ("<select></select>", ""),
+        # lists that begin with lists
+        ("<ul><li><ul><li>a<li>b</ul><li>c</ul>", "- - a\n  - b\n- c"),
+        # broken markup
+        ("a<![data[y]]>b<![ hi", "ab"), ("a<!doctype html>b<?php x ?>c</ d>e</>f", "abcef"), ("a<!-->b<!--->c<!-- d --!>e", "abce"),
+        ("a<b title='x>y'>z</b", "az"), ("<a href=x", ""), ("a</", "a</"), ("a<!", "a"),
+        ("<p title=a&amp;b class = 'c'id=d>x", "x"), ("<textarea><b>x</b> &lt;</textarea>", "<b>x</b> <"), ("<script><b></scripty></SCRIPT >x", "x"),
+        ("<table><tr><td colspan=%s>a<td rowspan=%s>b</table>" % ("9" * 5_000, "0"), "a  b"), ("&#%s;&#000065;&#x%s;" % ("9" * 5_000, "f" * 5_000), "\ufffdA\ufffd"),
         ("<input type=hidden value=h><input type=submit value=Go> now", "Go now"),
         # odd input
         (None, ""), ("", ""), ("   ", ""), ("just text < 3", "just text < 3"), ("<", "<"), ("&#0;&#xD800;", "��"),
@@ -60,6 +74,34 @@ def test_deep_and_long_pages():
     assert visible_text("</b>" * 50_000 + "<b>" * 5_000 + "x") == "x"
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<a " * 350_000, "<!--" * 250_000, "<a '" * 250_000, "<a b=" * 200_000, "</a " * 250_000, "<!x" * 350_000, "<script>" * 130_000,
+        "<blockquote>x" * 75_000, "<li>x" * 200_000, "<ul><li>" * 125_000 + "x", "&" * 1_000_000, "&#" * 500_000, "<" * 1_000_000,
+        "<i><div>" + "<b>" * 160_000 + "</i>" * 125_000, "<table><caption>" * 65_000 + "x", "<table><tr><td>" * 70_000 + "x",
+        "<table><tr><td>" + "w" * 500_000 + "<td>z" + "<tr><td>a<td>b" * 35_000 + "</table>",
+        "<table><tr>" + "<td colspan=1000 rowspan=1000>" * 33_000 + "x</table>",
+        "<table>" + "<tr><td colspan=1000 rowspan=9><td>x" * 25_000 + "</table>",
+    ],
+    ids=range(19),
+)
+def test_odd_pages_of_a_megabyte_take_linear_time_and_room(html):
+    import time
+
+    begun = time.process_time()
+    text = visible_text(html)
+    assert time.process_time() - begun < 10
+    assert len(text) < 50 * len(html)
+
+
+def test_deep_structure_keeps_its_text():
+    for opening in ("<table><caption>", "<table>", "<table><tr><td>", "<blockquote>", "<ul><li>", "<select>", "<b>"):
+        words = visible_text("".join(f"{opening}w{k} " for k in range(1_500))).split()
+        if opening != "<select>":
+            assert [w for w in sorted(words) if w != "-"] == sorted(f"w{k}" for k in range(1_500)), opening
+
+
 def test_query_keeps_every_page_and_word(spark):
     rows = op1_html_text(spark, SF_DIR).collect()
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
