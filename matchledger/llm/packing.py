@@ -1,12 +1,14 @@
 """Packing documents into sequences: cutting stock by column generation.
 
 Documents are cut at multiples of the sequence length; what remains of each has
-some length below it. Lengths are rounded up to a grid of 16 tokens, which leaves at
-most 256 sizes, so all the planner needs is a histogram of 256 rows, whatever
-the size of the corpus. A pattern says how many pieces of each size share a
+some length below it, so the histogram of lengths has at most 4096 rows, whatever
+the size of the corpus. Lengths are rounded up to a unit of 1 to 16 tokens, which is 16
+only if that costs under 0.5 % of padding, and gathered into at most 256 sizes, each the largest
+length in it, chosen by the histogram so that little is lost: short texts keep their exact lengths. A pattern says how many pieces of each size share a
 sequence. The linear program over patterns, whose columns are found by a knapsack
-dynamic program over the sizes' dual prices, is rounded down; what is left over,
-less than one sequence for each pattern, is filled largest first.
+dynamic program over the sizes' dual prices, is solved to within `GAP` of its optimum
+and rounded down; what is left over, less than one sequence for each pattern, is
+filled largest first.
 
 Pieces are ranked within their size, in shares that are counted first, so no task
 ranks a size by itself. A rank says which sequence of which pattern a piece is in.
@@ -18,7 +20,7 @@ import math
 import re
 import struct
 import zlib
-from collections import OrderedDict
+from collections import Counter, OrderedDict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -34,6 +36,11 @@ from matchledger.llm.common import TAG, Scratch, table, tagged
 
 SEQUENCE = 4_096
 GRID = 16
+#: By how much the linear program may stay above its optimum, as a share of it.
+GAP = 1e-3
+MOST_ROUNDS = 400
+#: Lengths are counted in the largest unit, up to the grid, that adds no more padding than this share of the tokens.
+ROUNDING = 0.005
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 KEPT_WORDS = 250_000
@@ -161,51 +168,115 @@ def _expanded(pieces: DataFrame) -> DataFrame:
 # patterns ----------------------------------------------------------------------
 
 
+def unit_of(histogram: dict[int, int], grid: int) -> int:
+    """The largest halving of `grid` to which lengths can be rounded up for at most `ROUNDING` of padding, or 1."""
+    tokens = sum(each * n for each, n in histogram.items())
+    while grid > 1 and (grid % 2 or sum(-each % grid * n for each, n in histogram.items()) > ROUNDING * tokens):
+        grid = grid // 2 if grid % 2 == 0 else 1
+    return grid
+
+
+def size_of_lengths(histogram: dict[int, int], most: int) -> dict[int, int]:
+    """The size that each length is rounded up to, `most` sizes at most.
+
+    Every length is a size at first; then, again and again, that size goes to the next larger one that adds the
+    fewest tokens of padding by it.
+    """
+    lengths = np.array(sorted(histogram), np.int64)
+    tops, pieces = lengths.copy(), np.array([histogram[int(x)] for x in lengths], np.int64)
+    while len(tops) > most:
+        k = int((np.diff(tops) * pieces[:-1]).argmin())
+        pieces[k + 1] += pieces[k]
+        tops, pieces = np.delete(tops, k), np.delete(pieces, k)
+    return dict(zip(lengths.tolist(), tops[np.searchsorted(tops, lengths)].tolist(), strict=True))
+
+
 def _priced(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Knapsack: the dearest pattern, as the number of pieces of each size."""
-    by_size = np.full(capacity + 1, -np.inf)
-    by_size[sizes] = prices
-    best, taken = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    for room in range(1, capacity + 1):
-        value = by_size[1 : room + 1] + best[room - 1 :: -1]
-        k = int(value.argmax())
-        best[room] = best[room - 1]
-        if value[k] > best[room] + 1e-12:
-            best[room], taken[room] = value[k], k + 1
-    pattern, room = np.zeros(capacity + 1, np.int64), capacity
-    while room > 0:
-        pattern[taken[room]] += 1
-        room -= max(int(taken[room]), 1)
-    return float(best[capacity]), pattern[sizes]
+    """Knapsack: the dearest pattern, as the number of pieces of each size.
+
+    Size by size, and for each in powers of two, so that a step improves all rooms at once.
+    """
+    best = np.zeros(capacity + 1)
+    added, copies = np.full(capacity + 1, -1, np.int64), np.zeros(capacity + 1, np.int64)
+    for i in np.argsort(-prices / sizes, kind="stable").tolist():
+        price, size, many = float(prices[i]), int(sizes[i]), 1
+        while price > 0 and size * many <= capacity:
+            value = best[: capacity + 1 - size * many] + price * many
+            better = np.flatnonzero(value > best[size * many :] + 1e-12)
+            if not len(better):
+                break
+            rooms = better + size * many
+            best[rooms], added[rooms], copies[rooms] = value[better], i, many
+            many *= 2
+    pattern, room = np.zeros(len(sizes), np.int64), capacity
+    while added[room] >= 0:
+        i, many = int(added[room]), int(copies[room])
+        pattern[i] += many
+        room -= many * int(sizes[i])
+    return float(best[capacity]), pattern
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Their product, made without the threads of a linear algebra library, which hung in a driver."""
+    return (matrix * vector).sum(axis=1)
+
+
+def _exchanged(inverse: np.ndarray, change: np.ndarray, leaves: int) -> None:
+    """The inverse of a basis after a column with these coefficients took the place of column `leaves`."""
+    row = inverse[leaves] / change[leaves]
+    inverse -= np.outer(change, row)
+    inverse[leaves] = row
+
+
+def _first_basis(sizes: np.ndarray, wanted: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns filled largest first, each used until a size runs out, which later ones do without; and their inverse.
+
+    A pattern is the column of the size that it uses up, so the basis is triangular but for the order of its columns.
+    """
+    n, left = len(sizes), wanted.astype(float)
+    basis = np.diag((capacity // sizes).astype(float))
+    inverse = np.diag(1 / np.diag(basis))
+    here = list(range(n - 1, -1, -1))
+    for _ in range(n):
+        room, pattern = capacity, np.zeros(n)
+        for i in here:
+            pattern[i] = room // sizes[i]
+            room -= int(pattern[i]) * int(sizes[i])
+        held = np.flatnonzero(pattern)
+        times = left[held] / pattern[held]
+        gone = int(held[times.argmin()])
+        left[held] -= times.min() * pattern[held]
+        here.remove(gone)
+        basis[:, gone] = pattern
+        _exchanged(inverse, _times(inverse, pattern), gone)
+    return basis, inverse
 
 
 def fractional_patterns(
-    sizes: np.ndarray, demand: np.ndarray, capacity: int, most_rounds: int = 20_000
+    sizes: np.ndarray, demand: np.ndarray, capacity: int, most_rounds: int = MOST_ROUNDS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (columns) and how often each is used in the linear program's optimum, by the revised simplex method."""
+    """Patterns (columns) and how often each is used, by the revised simplex method.
+
+    Prices divided by the value of the dearest pattern are feasible, so the optimum is at least what is used now divided
+    by that value: the method ends once that is within `GAP`, or with the patterns it has after `most_rounds`.
+    """
     n, total = len(sizes), float(demand.sum())
-    basis = np.diag((capacity // sizes).astype(float))
-    inverse = np.diag(1 / np.diag(basis))
     wanted = demand / total
-    used = inverse @ wanted
-    for step in range(most_rounds):
+    basis, inverse = _first_basis(sizes, wanted, capacity)
+    used = np.maximum(_times(inverse, wanted), 0)
+    for _ in range(most_rounds):
         value, pattern = _priced(inverse.sum(axis=0), sizes, capacity)
-        if value <= 1 + 1e-9:
+        if value <= 1 + GAP:
             break
-        change = inverse @ pattern
+        change = _times(inverse, pattern)
         ratio = np.full(n, np.inf)
         np.divide(used, change, out=ratio, where=change > 1e-9)
         leaves = int(ratio.argmin())
         if not np.isfinite(ratio[leaves]):
             break
         basis[:, leaves] = pattern
-        if step % 200 == 199:
-            inverse = np.linalg.inv(basis)
-        else:
-            row = inverse[leaves] / change[leaves]
-            inverse -= np.outer(change, row)
-            inverse[leaves] = row
-        used = np.maximum(inverse @ wanted, 0)
+        _exchanged(inverse, change, leaves)
+        used = np.maximum(_times(inverse, wanted), 0)
     return basis.astype(np.int64), used * total
 
 
@@ -251,24 +322,35 @@ def assign_sequences(pieces: DataFrame, scratch: Scratch, length: int = SEQUENCE
     """The pieces with their sequence_id and offset; pieces: _tag, start, length and any other columns.
 
     The pieces should be a staged table, as they are read for the histogram, the
-    counts of the shares, and the result.
+    counts of the shares, and the result. There are as many sizes as `grid` goes into `length`, at most.
     """
     if length % grid:
         raise ValueError("the grid must divide the sequence length")
-    sized = pieces.withColumn("_size", F.ceil(F.col("length") / grid).cast("int"))
-    histogram = {r["_size"]: r["n"] for r in sized.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    spark = pieces.sparkSession
+    # At most a row for each length up to that of a sequence.
+    by_length = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    unit = unit_of(by_length, grid)
+    in_units: Counter[int] = Counter()
+    for each, n in by_length.items():
+        in_units[-(-each // unit)] += n
+    tops = size_of_lengths(in_units, length // grid)
+    sizes = {each: tops[-(-each // unit)] for each in by_length}
+    histogram: Counter[int] = Counter()
+    for each, n in by_length.items():
+        histogram[sizes[each]] += n
+    named = spark.createDataFrame(list(sizes.items()), "length long, _size int")
+    sized = pieces.join(F.broadcast(named), "length")
     # As many shares as keep both a share of a size and the list of a size's shares short.
     shares = max(1, math.isqrt(sum(histogram.values())) // 4)
     sized = sized.withColumn("_share", F.pmod(F.xxhash64(TAG, "start"), F.lit(shares)).cast("int"))
 
     rows, first, taken = [], 0, dict.fromkeys(histogram, 0)
-    for times, pattern in plan_sequences(histogram, length // grid):
+    for times, pattern in plan_sequences(histogram, length // unit):
         for size, each in pattern.items():
             rows.append((size, taken[size], taken[size] + times * each, each, first))
             taken[size] += times * each
         first += times
     # At most a row for each size and pattern, and there are about as many patterns as sizes.
-    spark = pieces.sparkSession
     ranges = spark.createDataFrame(rows, "_size int, _from long, _to long, _each long, _first long")
 
     counts = sized.groupBy("_size", "_share").agg(F.count(F.lit(1)).alias("_n"))

@@ -116,3 +116,36 @@ def test_the_grid_must_divide_the_length(scratch, documents):
 
     with pytest.raises(ValueError, match="grid"):
         assign_sequences(cut_documents(documents((1, "a"))), scratch, length=100, grid=16)
+
+
+def test_short_texts_fill_their_sequences(spark, scratch):
+    for words in (1, 2, 20, 100):  # and the closing id
+        rows = pack(
+            spark.range(20_000).selectExpr("id AS doc_id", f"trim(repeat('the ', {words - 1})) AS text"), scratch, with_ids=False
+        ).collect()
+        check_layout(rows)
+        sequences = len({r.sequence_id for r in rows})
+        assert {r.doc_tokens for r in rows} == {words}
+        # No whole number of them may fill a sequence, and one sequence is not full.
+        assert sequences == -(-20_000 // (SEQUENCE // words))
+    turns = spark.read.parquet(f"{SF_DIR}/conversations.parquet").selectExpr("monotonically_increasing_id() AS doc_id", "text")
+    rows = pack(turns, scratch, with_ids=False).collect()
+    check_layout(rows)
+    assert sum(r.length for r in rows) / SEQUENCE / len({r.sequence_id for r in rows}) > 0.95
+
+
+def test_sizes_lose_little_and_the_planner_is_quick():
+    from matchledger.llm.packing import size_of_lengths, unit_of
+
+    rng = np.random.default_rng(2)
+    for lengths in (rng.integers(1, SEQUENCE + 1, 100_000), rng.lognormal(5, 1.2, 100_000).clip(1, SEQUENCE).astype(int)):
+        histogram = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)), strict=True))
+        sizes = size_of_lengths(histogram, 256)
+        assert sizes.keys() == histogram.keys() and all(s >= x for x, s in sizes.items()) and len(set(sizes.values())) == 256
+        assert sum((sizes[x] - x) * n for x, n in histogram.items()) < 0.01 * lengths.sum()
+        rounded = {}
+        for x, n in histogram.items():
+            rounded[sizes[x]] = rounded.get(sizes[x], 0) + n
+        sequences = sum(times for times, _ in plan_sequences(rounded, SEQUENCE))
+        assert lengths.sum() / SEQUENCE / sequences > 0.98
+    assert unit_of({3: 100}, 16) == 1 and unit_of({4_000: 100}, 16) == 16 and unit_of({}, 16) == 16
