@@ -11,7 +11,8 @@ with x^ = s * x8. A candidate whose upper bound lies below the k-th lower bound
 of its query in the tile can't be among the k nearest. The others are computed
 again in double precision, a heap keeps the k best of a tile, and heaps are merged by query.
 
-The result is exact. The products are taken as float32 matrices, which hold
+A bound that overflows says nothing, so its candidate is computed again. The result is
+exact for any finite components. The products are taken as float32 matrices, which hold
 integers up to 2 ** 24 exactly, so up to 1024 components.
 """
 
@@ -76,13 +77,21 @@ def _inner_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     total = np.zeros(len(vectors))
     for component, q in zip(vectors.T, query, strict=True):
         total += component * q
-    return total
+    # A sum that overflows to both sides counts as the least.
+    return np.where(np.isnan(total), -np.inf, total)
 
 
 def tile_nearest(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query_id, id, score): the k nearest of a tile for each query, ties to the smaller id, its own id left out."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return _tile_nearest(query_ids, queries, ids, vectors, k)
+
+
+def _tile_nearest(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = queries.shape[1]
     q8, q_scale = _quantised(queries)
     x8, x_scale = _quantised(vectors)
@@ -98,10 +107,11 @@ def tile_nearest(
             q_scale[part, None] / 2 * x_norm + x_scale / 2 * q_norm[part, None] + size / 4 * q_scale[part, None] * x_scale
         ) * (1 + 1e-9) + 1e-300
         own = query_ids[part, None] == ids
-        lower = np.where(own, -np.inf, near - off)
+        upper, lower = near + off, near - off
+        lower = np.where(own | ~np.isfinite(lower), -np.inf, lower)
         kept = min(k, len(ids))
         floor = np.partition(lower, len(ids) - kept, axis=1)[:, len(ids) - kept]
-        survivors = (near + off >= floor[:, None]) & ~own
+        survivors = ((upper >= floor[:, None]) | ~np.isfinite(upper)) & ~own
         for row in range(len(floor)):
             found = np.nonzero(survivors[row])[0]
             scores = _inner_products(vectors[found], queries[at + row])
@@ -154,7 +164,8 @@ def nearest(
 
     Nearest first, ties to the smaller id; all candidates if there are fewer than
     k. A candidate with the query's id is the query's own and left out. Vectors of
-    different length are not compared. Repeated rows of a candidate take a rank
+    different length are not compared. An inner product beyond the range of doubles is an infinity,
+    and the least of all if its parts overflow to both sides. Repeated rows of a candidate take a rank
     each; a query id that repeats counts once (with its first vector by bytes).
     """
     asked = scratch.stage(
