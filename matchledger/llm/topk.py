@@ -20,6 +20,7 @@ tasks, over arrays, and what leaves a task is k codes for each query at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache, reduce
 from itertools import combinations
 from math import comb, log2
@@ -33,6 +34,8 @@ from pyspark.sql.window import Window
 from matchledger.llm.common import Scratch, table
 
 BITS = 64
+#: The multiplier that the signs of components after the 64th come from.
+TURN = 40_503
 NEIGHBOURS = 10
 QUERY_EVERY = 50
 #: A round of more changes than this is not made with segments over 16 bits wide (which never need as many).
@@ -44,13 +47,37 @@ FOUND = "query long, code long, least_id long, distance int"
 
 
 def sign_code(vector: str = "embedding", bits: int = BITS) -> Column:
-    """One bit for each of the first 64 components, set where it is 0 or more; NULL, missing and NaN count as below."""
-    at = [F.get(F.col(vector), F.lit(i)) for i in range(bits)]
-    ones = [F.when((c >= 0) & ~F.isnan(c), F.lit(_signed(1 << i))).otherwise(F.lit(0).cast("long")) for i, c in enumerate(at)]
-    out = ones[0]
-    for c in ones[1:]:
-        out = out.bitwiseOR(c)
-    return F.when(F.col(vector).isNotNull(), out)
+    """A code of 64 bits: of vectors of up to 64 components the bits are their signs, set where one is 0 or more.
+
+    In longer vectors every component counts: bit b is the sign of the sum of components b, b + 64, b + 128 and so on,
+    each after the first 64 with a sign of its own (`_turned`). NULL, missing and NaN components are left out
+    of the sum; a bit without any other component is not set. A NULL vector has no code.
+    """
+    at = F.col(vector)
+
+    def code_of(bit_set: Callable[[int], Column]) -> Column:
+        ones = [F.when(bit_set(i), F.lit(_signed(1 << i))).otherwise(F.lit(0).cast("long")) for i in range(bits)]
+        return reduce(Column.bitwiseOR, ones)
+
+    short = code_of(lambda i: (F.get(at, F.lit(i)) >= 0) & ~F.isnan(F.get(at, F.lit(i))))
+    signed = F.transform(at, lambda x, i: F.when(_turned(i), -x.cast("double")).otherwise(x.cast("double")))
+    # Sums by bit, in the order of the components.
+    rows = F.sequence(F.lit(0), F.lit(bits - 1))
+    sums = F.transform(rows, lambda bit: F.aggregate(
+        F.filter(signed, lambda x, i: (F.pmod(i, F.lit(bits)) == bit) & x.isNotNull() & ~F.isnan(x)),
+        F.lit(None).cast("double"), lambda total, x: F.coalesce(total, F.lit(0.0)) + x,
+    ))
+    summed = F.aggregate(
+        F.transform(sums, lambda x, i: F.when((x >= 0) & ~F.isnan(x), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))),
+        F.lit(0).cast("long"), lambda code, bit: code.bitwiseOR(bit),
+    )
+    return F.when(at.isNotNull(), F.when(F.size(at) <= bits, short).otherwise(summed))
+
+
+def _turned(i: Column) -> Column:
+    """Whether component `i` (from 0) enters its sum with the opposite sign: an arbitrary half of those after the first 64."""
+    mixed = F.shiftright(i.cast("long") * F.lit(TURN), 16)
+    return (i >= BITS) & (mixed.bitwiseAND(F.lit(1)) == 1)
 
 
 def _signed(x: int) -> int:
@@ -275,7 +302,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sql(k: int = NEIGHBOURS) -> str:
-    bits = f"list_transform(range(1, {BITS + 1}), lambda i: coalesce(embedding[i] >= 0 AND NOT isnan(embedding[i]), false))"
+    turned = f"i > {BITS} AND ((i - 1) * {TURN} >> 16) & 1 = 1"
+    parts = (
+        f"list_transform(range(b, len(embedding) + 1, {BITS}), "
+        f"lambda i: CASE WHEN {turned} THEN -embedding[i]::DOUBLE ELSE embedding[i]::DOUBLE END)"
+    )
+    added = f"list_reduce(list_filter({parts}, lambda x: x IS NOT NULL AND NOT isnan(x)), lambda s, x: s + x, 0.0::DOUBLE)"
+    some = f"len(list_filter({parts}, lambda x: x IS NOT NULL AND NOT isnan(x))) > 0"
+    bits = f"list_transform(range(1, {BITS + 1}), lambda b: coalesce({some} AND {added} >= 0 AND NOT isnan({added}), false))"
     return (
         f"WITH codes AS (SELECT vec_id, {bits} AS b FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL), "
         "pairs AS (SELECT q.vec_id AS query_id, x.vec_id, "

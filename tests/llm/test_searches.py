@@ -124,3 +124,43 @@ def test_sign_codes(spark):
     df = spark.createDataFrame([(1, [0.0, -1.0, 2.0, math.nan, None]), (2, [-1.0] * 63 + [1.0]), (3, None), (4, [])], "i int, embedding array<float>")
     found = {r.i: r.c for r in df.select("i", sign_code().alias("c")).collect()}
     assert found == {1: 5, 2: -(2**63), 3: None, 4: 0}
+
+
+@pytest.mark.parametrize("size", [63, 64, 65, 72, 200])
+def test_codes_take_all_components_and_agree_with_sql(spark, size):
+    import duckdb
+    import pandas as pd
+
+    from matchledger.llm.topk import op10_sql
+
+    rng = random.Random(size)
+    rows = [(i, [rng.choice([rng.gauss(0, 1), 0.0, -0.0, math.nan, None]) for _ in range(size)]) for i in range(40)]
+    rows += [(100 + i, [1.0] * 64 + [5.0 * rng.choice([-1, 1]) for _ in range(size - 64)]) for i in range(50 if size > 64 else 0)]
+    rows += [(200, None), (250, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    codes = [(r.vec_id, r.code) for r in df.select("vec_id", sign_code().alias("code")).collect()]
+    assert size < 72 or len({c for i, c in codes if 100 <= i < 150}) > 30
+    asked = [(i, c) for i, c in codes if i % 50 == 0 and c is not None]
+    con = duckdb.connect()
+    con.register("embeddings", df.toArrow())
+    found = {tuple(r) for r in con.execute(f"SELECT query_id, rank, vec_id, distance FROM ({op10_sql()})").fetchall()}
+    assert found == plain_codes(asked, [c for c in codes if c[1] is not None], 10)
+
+
+@pytest.mark.parametrize("magnitude", [1e200, 1e-200, 1e154, 1.0])
+def test_nearest_of_any_magnitude(spark, scratch, magnitude):
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=6) * (magnitude if i % 3 else 1.0)).tolist()) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in nearest(df.filter("vec_id % 10 = 0"), df, scratch, k=8, query_block=4, candidate_block=30).collect()]
+    expected = []
+    for q, x in rows[::10]:
+        scored = []
+        for i, y in rows:
+            total = 0.0
+            for a, b in zip(x, y, strict=True):
+                total += a * b
+            if i != q:
+                scored.append((math.inf if math.isnan(total) else -total, i))
+        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scored)[:8], 1)]
+    assert sorted(found) == sorted(expected)
