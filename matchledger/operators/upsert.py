@@ -19,6 +19,7 @@ from matchledger.operators.joins import SPREAD, any_null, spread
 from matchledger.operators.keydays import distinct_days, on_days
 from matchledger.schemas import Fact
 from matchledger.session import Workspace
+from matchledger.sources.snapshots import is_published, publish
 from matchledger.sources.tables import qualified, with_partition
 
 
@@ -138,7 +139,8 @@ def upsert_table(
 
     A table has one writer at a time: a second merge into it gets a `ConcurrentMerge`
     error, before anything is read. Readers may see a row that moved
-    to another day twice until step 4 is done.
+    to another day twice until step 4 is done; those of a published fact (see
+    `sources.snapshots`) never do, as it gets a new version instead of steps 3 and 4.
     """
     table = qualified(spark, table)
     with only_writer(spark, table):
@@ -183,6 +185,9 @@ def merge_into(
                 content = _update_and_add(before, staged, hits, keys, null_safe)
         after_name, after = workspace.stage(content.select(*target.columns), f"{fact.name}_after")
         names.append(after_name)
+        if is_published(spark, table):
+            publish(spark, table, after, part, touched)
+            return
         try:
             overwrite_partitions(spark, after_name, table, part)
         except Exception as failure:

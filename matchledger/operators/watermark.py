@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchledger.sources.snapshots import stored_table
 from matchledger.sources.tables import utc_day
 
 
@@ -66,7 +67,8 @@ def stored_high_water_mark(spark: SparkSession, table: str, field: str, part: st
 
 def partition_days(spark: SparkSession, table: str, part: str) -> list[dt.date]:
     """The days a table has partitions of, newest first, without the one of rows that have no day."""
-    names = (row[0].removeprefix(f"{part}=") for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    shown = spark.sql(f"SHOW PARTITIONS {stored_table(spark, table)}").collect()
+    names = (row[0].removeprefix(f"{part}=") for row in shown)
     return sorted((dt.date.fromisoformat(n) for n in names if n not in ("__HIVE_DEFAULT_PARTITION__", "null")), reverse=True)
 
 

@@ -30,6 +30,7 @@ from matchledger.operators.watermark import (
 from matchledger.plans import daily, games, roas, rooms
 from matchledger.schemas import DAILY, GAMES, MATCH_KEYS, PURCHASE, ROAS, ROOM_KEYS, ROOMS
 from matchledger.session import Workspace
+from matchledger.sources.snapshots import create_published
 from matchledger.sources.tables import create_fact, qualified, read_fact
 
 
@@ -66,9 +67,12 @@ def refresh(
     late: str = "as_written",
     on_duplicate: str = "error",
     redo_from: dt.date | None = None,
+    snapshots: bool = False,
 ) -> DataFrame:
     """Build `table` if it is not there, else merge what is new; returns the stored fact.
 
+    With `snapshots` the first build makes a published fact, whose readers see each
+    later refresh as a whole (see `sources.snapshots`); refreshes find out by themselves.
     One refresh of a table at a time; a second one gets a `ConcurrentMerge` error.
     """
     if late not in ("as_written", "reprocess"):
@@ -79,7 +83,11 @@ def refresh(
     staged: list[str] = []
     try:
         if not spark.catalog.tableExists(table):
-            create_fact(_full(name, inputs, workspace, staged), table, fact)
+            rows = _full(name, inputs, workspace, staged)
+            if snapshots:
+                create_published(spark, rows, table, fact)
+            else:
+                create_fact(rows, table, fact)
             if inputs.key_days and name in INDEXED:
                 record_days(spark, inputs.key_days, inputs.events, INDEXED[name])
             return read_fact(spark, table, fact)
