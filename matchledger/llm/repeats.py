@@ -162,10 +162,12 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
         .select("prefix", (F.col("_least") != F.col("_most")).alias("differ"))
     )
     shared = scratch.stage(shared, "shared")
+    scratch.release()  # here and below: what was shuffled for a staged table goes before the next shuffle
     neighbours = scratch.stage(retained.join(shared, "prefix").drop("prefix"), "neighbours")
     scratch.release(retained, shared)
     classes = neighbours.groupBy("around").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
     classes = scratch.stage(classes, "firsts")
+    scratch.release()
     placed = scratch.stage(
         neighbours.join(classes, "around").select(
             TAG, "at", "n", "differ", (F.struct(TAG, "at") == _row_and_word("_first")).alias("first"),
@@ -181,8 +183,10 @@ def _spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
 
     members = placed.filter("first and differ").groupBy(TAG).agg(F.collect_list("at").alias("ats"))
     windows = scratch.stage(_windows(rows.join(members, TAG)), "windows")
+    scratch.release()
     repeated = windows.groupBy("window").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
     repeated = scratch.stage(repeated.filter("_n > 1"), "repeated")
+    scratch.release()
     single = windows.join(repeated, "window").select(
         TAG, (F.struct(TAG, "at") != _row_and_word("_first")).alias("later"), F.col("at").alias("start"),
         (F.col("at") + MIN_WORDS).alias("end"),
