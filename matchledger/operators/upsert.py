@@ -7,7 +7,7 @@ partitions a merge touches and no others.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -150,8 +150,12 @@ def upsert_table(
 def merge_into(
     spark: SparkSession, table: str, source: DataFrame, fact: Fact, workspace: Workspace,
     on_duplicate: str = "error", null_safe: bool = False, within: set[dt.date | None] | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """`upsert_table` for a caller that is the `only_writer` of `table`, given by its full name."""
+    """`upsert_table` for a caller that is the `only_writer` of `table`, given by its full name.
+
+    `watch` gets the new content of the touched partitions before it is written, to count on it.
+    """
     _check_mode(on_duplicate)
     part, keys = fact.partition_column, list(fact.keys)
     staged_name, staged = workspace.stage(with_partition(source, fact), f"{fact.name}_source")
@@ -183,7 +187,8 @@ def merge_into(
                 content = _merge(before, staged, keys, on_duplicate, null_safe)
             else:
                 content = _update_and_add(before, staged, hits, keys, null_safe)
-        after_name, after = workspace.stage(content.select(*target.columns), f"{fact.name}_after")
+        content = content.select(*target.columns)
+        after_name, after = workspace.stage(watch(content) if watch else content, f"{fact.name}_after")
         names.append(after_name)
         if is_published(spark, table):
             publish(spark, table, after, part, touched)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from matchledger.operators.joins import any_null
 from matchledger.operators.keydays import days_of, distinct_days, on_days, record_days
+from matchledger.operators.observed import ObservedChecks
+from matchledger.operators.quality import ALL_CHECKS
 from matchledger.operators.upsert import merge_into, only_writer
 from matchledger.operators.watermark import (
     high_water_mark,
@@ -68,11 +70,13 @@ def refresh(
     on_duplicate: str = "error",
     redo_from: dt.date | None = None,
     snapshots: bool = False,
+    checks: ObservedChecks | None = None,
 ) -> DataFrame:
     """Build `table` if it is not there, else merge what is new; returns the stored fact.
 
     With `snapshots` the first build makes a published fact, whose readers see each
     later refresh as a whole (see `sources.snapshots`); refreshes find out by themselves.
+    `checks` counts the failures of the fact's NULL checks among the rows that are written.
     One refresh of a table at a time; a second one gets a `ConcurrentMerge` error.
     """
     if late not in ("as_written", "reprocess"):
@@ -84,6 +88,8 @@ def refresh(
     try:
         if not spark.catalog.tableExists(table):
             rows = _full(name, inputs, workspace, staged)
+            if checks:
+                rows = checks.watch(rows, name, ALL_CHECKS[name])
             if snapshots:
                 create_published(spark, rows, table, fact)
             else:
@@ -94,7 +100,7 @@ def refresh(
         table = qualified(spark, table)
         # What is read of the stored fact has to be what the merge meets.
         with only_writer(spark, table):
-            _refreshed(spark, name, table, inputs, workspace, staged, late, on_duplicate, redo_from)
+            _refreshed(spark, name, table, inputs, workspace, staged, late, on_duplicate, redo_from, checks)
     finally:
         workspace.release(*staged)
     return read_fact(spark, table, fact)
@@ -102,9 +108,10 @@ def refresh(
 
 def _refreshed(
     spark: SparkSession, name: str, table: str, inputs: Inputs, workspace: Workspace, staged: list[str],
-    late: str, on_duplicate: str, redo_from: dt.date | None,
+    late: str, on_duplicate: str, redo_from: dt.date | None, checks: ObservedChecks | None,
 ) -> None:
     fact, within = FACTS[name], None
+    watch = checks and (lambda content: checks.watch(content, name, ALL_CHECKS[name]))
     stored = read_fact(spark, table, fact)
     if late == "as_written":
         source = _as_written(name, inputs, spark, table, workspace, staged)
@@ -115,7 +122,9 @@ def _refreshed(
     else:
         source = _reprocessed(name, inputs, stored, workspace, staged, redo_from)
     # What is rebuilt takes the place of what was there, under incomplete keys too.
-    merge_into(spark, table, source, fact, workspace, on_duplicate, null_safe=late == "reprocess", within=within)
+    merge_into(
+        spark, table, source, fact, workspace, on_duplicate, null_safe=late == "reprocess", within=within, watch=watch
+    )
 
 
 def _full(name: str, inputs: Inputs, workspace: Workspace, staged: list[str]) -> DataFrame:

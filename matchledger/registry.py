@@ -209,7 +209,7 @@ def _mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(mark.alias("max_joined_time"))
 
 
-def _late(name: str) -> Query:
+def _late(name: str, snapshots: bool = False) -> Query:
     """Build a stored fact without the events that come in late, then refresh it with those.
 
     Matches and rooms keep an index of their days, so only those are read again.
@@ -220,7 +220,8 @@ def _late(name: str) -> Query:
         workspace = Workspace(spark)
         table = workspace.table(name)
         key_days = workspace.table("key_days")
-        refresh(spark, name, table, Inputs(events=demo.on_time(spark, sf_dir), key_days=key_days), workspace)
+        on_time = Inputs(events=demo.on_time(spark, sf_dir), key_days=key_days)
+        refresh(spark, name, table, on_time, workspace, snapshots=snapshots)
         inputs = Inputs(
             events=demo.game_events(spark, sf_dir), arrived=demo.arrived_late(spark, sf_dir), key_days=key_days
         )
@@ -432,6 +433,8 @@ def all_queries() -> dict[str, Query]:
         "fct_games_late_fixed": _late("fct_games"),
         "fct_rooms_late_fixed": _late("fct_rooms"),
         "daily_player_late_fixed": _late("daily_player"),
+        "fct_games_late_published": _late("fct_games", snapshots=True),
+        "daily_player_late_published": _late("daily_player", snapshots=True),
         "fct_games_streamed": _streamed("fct_games"),
         "fct_rooms_streamed": _streamed("fct_rooms"),
         # checks

@@ -19,6 +19,7 @@ from matchledger.plans import games, rooms
 from matchledger.plans.refresh import FACTS, touched_keys
 from matchledger.schemas import GAMES, MATCH_KEYS, ROOM_KEYS, Fact
 from matchledger.session import Workspace
+from matchledger.sources.snapshots import create_published
 from matchledger.sources.tables import create_fact
 
 def keep_current(
@@ -30,6 +31,7 @@ def keep_current(
     workspace: Workspace,
     checkpoint: str,
     key_days: str | None = None,
+    snapshots: bool = False,
 ) -> StreamingQuery:
     """Start a query that merges what arrives on `stream` into the fact `name`.
 
@@ -37,7 +39,8 @@ def keep_current(
     batch's own events by then. The trigger takes what is there and stops, so
     a scheduler can call this every hour. `key_days` names an index of the days of
     each match or room (see `Inputs`), which the stream has to keep from its start;
-    with it a batch reads and rewrites only days that matter.
+    with it a batch reads and rewrites only days that matter. With `snapshots` the first
+    batch makes a published fact, whose readers see each batch as a whole.
     """
     fact = FACTS[name]
     keys = MATCH_KEYS if fact is GAMES else ROOM_KEYS
@@ -57,6 +60,8 @@ def keep_current(
                 upsert_table(
                     spark, table, rows, fact, workspace, on_duplicate="keep_all", null_safe=True, within=within
                 )
+            elif snapshots:
+                create_published(spark, rows, table, fact)
             else:
                 create_fact(rows, table, fact)
         finally:

@@ -613,6 +613,8 @@ def all_statements() -> dict[str, str]:
     s["fct_games_late_fixed"] = s["fct_games"]
     s["fct_rooms_late_fixed"] = s["fct_rooms"]
     s["daily_player_late_fixed"] = s["daily_player"]
+    s["fct_games_late_published"] = s["fct_games"]
+    s["daily_player_late_published"] = s["daily_player"]
     s["fct_games_streamed"] = s["fct_games"]
     s["fct_rooms_streamed"] = s["fct_rooms"]
 
